@@ -1,24 +1,31 @@
 """Evaluation of any scored table: confusion, rates, ROC and precision-recall areas.
 
 Inputs are a 0/1 label column, a 0/1 prediction column and a numeric score; they need not come from a
-model. Nothing is collected: each result is a lazy DataFrame.
+model. Counts and rates are lazy. Curves and areas need the scores in order: they first run a job that
+reduces the table to one row per distinct score, and are lazy from there on.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import hash_bucket
 from ledgerlens.schema import ID, LABEL
+from ledgerlens.scratch import durable
 
 PREDICTION = "prediction"
 
+# Steps in which a sampling fraction can be given.
+FINE = 1_000_000
+
 
 def hash_sample(df: DataFrame, fraction: float, id_col: str = ID, salt: str = "sample") -> DataFrame:
     """A reproducible share of the rows, chosen by id; evaluation uses every row unless asked for this."""
-    return df.where(hash_bucket(F.col(id_col), 10_000, salt) < round(fraction * 10_000))
+    return df.where(hash_bucket(F.col(id_col), FINE, salt) < round(fraction * FINE))
 
 
 def _cell(prediction: str, predicted: int, label: str, actual: int) -> Column:
@@ -109,53 +116,50 @@ def sample_predictions(
     return df.orderBy(id_col).limit(n).select(label, PREDICTION, "probability", *features[:3])
 
 
-def _by_score(df: DataFrame, label: str, score: Column, extra: dict[str, Column]) -> DataFrame:
-    """Label counts per distinct score. Ties combine within tasks before the shuffle."""
-    return df.groupBy(score.cast("double").alias("threshold")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"),
-        F.count_if(F.col(label) == 0).alias("neg"),
-        *[cell.alias(name) for name, cell in extra.items()],
-    )
+# Distinct scores that a single task may put in order.
+ONE_TASK_SCORES = 1_000_000
 
 
-def _score_ranges(df: DataFrame, score: Column) -> list[float]:
-    """Bounds that cut the rows into ranges of similar size, from a quantile sketch (one narrow pass)."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(8, min(10_000, 4 * partitions))
-    inner = df.select(score.cast("double").alias("score")).approxQuantile(
-        "score", [i / ranges for i in range(1, ranges)], 0.5 / ranges
-    )
-    return [float("-inf"), *sorted(set(inner) - {float("-inf"), float("inf")}), float("inf")]
-
+def _score_ranges(groups: DataFrame, n: int, one_task: int) -> list[float]:
+    """Bounds that cut `n` distinct scores into ranges a task can hold, from a quantile sketch."""
+    ranges = min(10_000, 4 * math.ceil(n / one_task))
+    inner = groups.approxQuantile("threshold", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
+    inf = float("inf")
+    return [-inf, *sorted(set(inner) - {-inf, inf}), inf]
 
-def _cumulated(df: DataFrame, label: str, score: Column, extra: dict[str, Column]) -> DataFrame:
-    """Distinct scores with `tp_at`, `fp_at`: label counts at this score or above, and class totals.
 
-    A running total over one global order would put every score in one task. Instead the scores are
-    cut into ranges at fixed bounds; each range sums on its own, starting from the totals of the
-    ranges above it, a table with as many rows as there are ranges.
-    """
-    bounds = _score_ranges(df, score)
-    groups = _by_score(df, label, score, extra)
-    if len(bounds) > 2:
-        cut = Bucketizer(splits=bounds, inputCol="threshold", outputCol="range", handleInvalid="error")
-        groups = cut.transform(groups)
-    else:
-        groups = groups.withColumn("range", F.lit(0.0))
-
-    above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(F.desc("range")).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+def _running(groups: DataFrame) -> DataFrame:
+    """Running and overall totals in one task, for few distinct scores."""
+    order = Window.orderBy(F.desc("threshold"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return groups.withColumns(
+        {
+            "tp_at": F.sum("pos").over(upto),
+            "fp_at": F.sum("neg").over(upto),
+            "pos_all": F.sum("pos").over(whole),
+            "neg_all": F.sum("neg").over(whole),
+        }
     )
+
+
+def _running_by_range(groups: DataFrame, bounds: list[float]) -> DataFrame:
+    """The same without a global order: each range of scores sums on its own, starting from the totals
+    of the ranges above it, which are a table with as many rows as there are ranges."""
+    cut = Bucketizer(splits=bounds, inputCol="threshold", outputCol="range", handleInvalid="error")
+    groups = cut.transform(groups)
+    order = Window.orderBy(F.desc("range"))
+    above = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     starts = (
         groups.groupBy("range")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         .select(
             "range",
-            F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("pos_above"),
-            F.coalesce(F.sum("neg").over(above), F.lit(0)).alias("neg_above"),
-            F.sum("pos").over(everything).alias("pos_all"),
-            F.sum("neg").over(everything).alias("neg_all"),
+            F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("tp_above"),
+            F.coalesce(F.sum("neg").over(above), F.lit(0)).alias("fp_above"),
+            F.sum("pos").over(whole).alias("pos_all"),
+            F.sum("neg").over(whole).alias("neg_all"),
         )
     )
     upto = (
@@ -164,19 +168,44 @@ def _cumulated(df: DataFrame, label: str, score: Column, extra: dict[str, Column
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        groups.withColumns({"pos_upto": F.sum("pos").over(upto), "neg_upto": F.sum("neg").over(upto)})
+        groups.withColumns({"tp_here": F.sum("pos").over(upto), "fp_here": F.sum("neg").over(upto)})
         .join(F.broadcast(starts), "range")
-        .select(
-            "threshold",
-            "pos",
-            "neg",
-            *extra,
-            (F.col("pos_above") + F.col("pos_upto")).alias("tp_at"),
-            (F.col("neg_above") + F.col("neg_upto")).alias("fp_at"),
-            "pos_all",
-            "neg_all",
+        .withColumns(
+            {"tp_at": F.col("tp_above") + F.col("tp_here"), "fp_at": F.col("fp_above") + F.col("fp_here")}
+        )
+    )
+
+
+def _cumulated(
+    df: DataFrame,
+    label: str,
+    score: str | Column,
+    extra: dict[str, Column] | None = None,
+    one_task: int = ONE_TASK_SCORES,
+) -> DataFrame:
+    """Distinct scores with `tp_at`, `fp_at` (label counts at this score or above) and class totals.
+
+    The table is read once: its counts per distinct score, combined within tasks before the shuffle,
+    are written out, and the later steps read only them. Their number, then known, decides whether one
+    task may order them.
+    """
+    value = (F.col(score) if isinstance(score, str) else score).cast("double")
+    groups = durable(
+        df.groupBy(value.alias("threshold")).agg(
+            F.count_if(F.col(label) == 1).alias("pos"),
+            F.count_if(F.col(label) == 0).alias("neg"),
+            *[cell.alias(name) for name, cell in (extra or {}).items()],
         )
     )
+    facts = groups.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("threshold").isNull() | F.isnan("threshold")).alias("unusable"),
+    ).first()
+    if facts["unusable"]:
+        raise ValueError("scores must be numbers, without nulls")
+    if facts["n"] <= one_task:
+        return _running(groups)
+    return _running_by_range(groups, _score_ranges(groups, facts["n"], one_task))
 
 
 def roc_curve(df: DataFrame, label: str = LABEL, score: str | Column = "score", origin: bool = True) -> DataFrame:
@@ -184,7 +213,7 @@ def roc_curve(df: DataFrame, label: str = LABEL, score: str | Column = "score",
 
     All points are kept, also those on a straight stretch of the curve. Null or NaN scores are an error.
     """
-    points = _cumulated(df, label, _as_column(score), {}).select(
+    points = _cumulated(df, label, score).select(
         "threshold",
         F.try_divide("tp_at", "pos_all").alias("tpr"),
         F.try_divide("fp_at", "neg_all").alias("fpr"),
@@ -197,10 +226,6 @@ def roc_curve(df: DataFrame, label: str = LABEL, score: str | Column = "score",
     return start.union(points)
 
 
-def _as_column(score: str | Column) -> Column:
-    return F.col(score) if isinstance(score, str) else score
-
-
 def _areas() -> dict[str, Column]:
     """Aggregates over `_cumulated`: trapezoids under ROC and precision-recall, one per distinct score.
 
@@ -219,12 +244,12 @@ def _areas() -> dict[str, Column]:
 
 def area_under_roc(df: DataFrame, label: str = LABEL, score: str | Column = "score") -> DataFrame:
     """One row: the exact area under the ROC curve; null when a class is absent."""
-    return _cumulated(df, label, _as_column(score), {}).agg(_areas()["auc"].alias("auc"))
+    return _cumulated(df, label, score).agg(_areas()["auc"].alias("auc"))
 
 
 def area_under_pr(df: DataFrame, label: str = LABEL, score: str | Column = "score") -> DataFrame:
     """One row: the exact area under the precision-recall curve; null without positives."""
-    return _cumulated(df, label, _as_column(score), {}).agg(_areas()["pr_auc"].alias("pr_auc"))
+    return _cumulated(df, label, score).agg(_areas()["pr_auc"].alias("pr_auc"))
 
 
 def evaluate(
@@ -240,7 +265,7 @@ def evaluate(
         "hits": F.count_if(F.col(prediction) == F.col(label)),
         "n": F.count(F.lit(1)),
     }
-    summed = _cumulated(df, label, _as_column(score), extra).agg(
+    summed = _cumulated(df, label, score, extra).agg(
         *[area.alias(name) for name, area in _areas().items()],
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in extra],
     )

@@ -190,19 +190,18 @@ def profile_distribution(
     facts = counts.agg(
         F.struct(
             F.count(F.lit(1)).alias("distinct"),
+            F.sum("n").alias("rows"),
             F.min(F.when(_usable(value), value)).alias("low"),
             F.max(F.when(_usable(value), value)).alias("high"),
         )
     ).scalar()
     many = facts["distinct"] > threshold
-    return (
-        counts.where(~many | _usable(value))
-        .select(
-            F.when(many, F.lit("histogram")).otherwise(F.lit("value_counts")).alias("kind"),
-            F.when(many, _bin_of(value, facts["low"], facts["high"], bins)).alias("bin"),
-            F.when(~many, value).alias("value"),
-            "n",
-        )
-        .groupBy("kind", "bin", "value")
-        .agg(F.sum("n").alias("n"))
+    binned = counts.select(
+        F.when(many, F.lit("histogram")).otherwise(F.lit("value_counts")).alias("kind"),
+        F.when(many, _bin_of(value, facts["low"], facts["high"], bins)).alias("bin"),
+        F.when(~many, value).alias("value"),
+        F.when(~many | _usable(value), F.col("n")).alias("n"),
     )
+    # What a histogram leaves out is dropped by its empty sum: a filter on the values would be pushed
+    # into the scan here but not in the subquery, and the two could no longer share one shuffle.
+    return binned.groupBy("kind", "bin", "value").agg(F.sum("n").alias("n")).where(F.col("n").isNotNull())

@@ -446,7 +446,7 @@ def feature_importance(spark, sf_dir):
 
 @query("E1_hash_sample")
 def hash_sample(spark, sf_dir):
-    return evaluate.hash_sample(_scored(spark, sf_dir), 0.1, salt="")
+    return evaluate.hash_sample(_scored(spark, sf_dir), 0.1)
 
 
 @query("E2_score")

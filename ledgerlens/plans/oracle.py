@@ -5,6 +5,7 @@ Model fits and exports have no SQL form and are left to the tests.
 
 from __future__ import annotations
 
+from ledgerlens.operators.evaluate import FINE
 from ledgerlens.plans.catalog import DECIMALS, FREE_SQL, HIGH
 from ledgerlens.plans.inputs import PROFILES_SQL, TRANSACTIONS_SQL
 from ledgerlens.schema import TRANSACTION_SCHEMA
@@ -106,8 +107,8 @@ def _gap(customer: str) -> str:
     )
 
 
-def _bucket(buckets: int) -> str:
-    return f"CAST(concat('0x', substr(md5(transaction_id), 1, 8)) AS BIGINT) % {buckets}"
+def _bucket(buckets: int, salt: str = "") -> str:
+    return f"CAST(concat('0x', substr(md5(concat('{salt}', transaction_id)), 1, 8)) AS BIGINT) % {buckets}"
 
 
 def _index(column: str) -> str:
@@ -243,7 +244,7 @@ ORACLE: dict[str, str] = {
         f"FROM {DEVICE_JOIN}",
         DEVICE,
     ),
-    "E1_hash_sample": _tx(f"SELECT * FROM s WHERE {_bucket(10_000)} < 1000", SCORED),
+    "E1_hash_sample": _tx(f"SELECT * FROM s WHERE {_bucket(FINE, 'sample')} < {FINE // 10}", SCORED),
     "E3_area_under_roc": _tx(f"SELECT {AUC} FROM r", SCORED, CURVE),
     "E4_area_under_pr": _tx(f"SELECT {PR_AUC} FROM r", SCORED, CURVE),
     "E5_confusion": _tx("SELECT tp, fp, fn, tn FROM c", SCORED, CELLS),

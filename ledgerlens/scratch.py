@@ -29,6 +29,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write `df` out once and read it back from there, so later jobs cannot see it change."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write `df` to a table in the shared folder and read it back from there (runs a job).
+
+    Later readers see the same rows whatever is recomputed or lost, read only the columns they use, and
+    do not repeat the work that led to them. The folder's owner decides when the files go.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
