@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.schema import TIME
+from ledgerlens.scratch import BROADCAST_ROWS, durable
 
 # What stands in for a missing category.
 FILL_VALUES = {"device_type": "unknown"}
@@ -32,15 +33,37 @@ def parse_time(
     return df.withColumn(column, parse(F.col(column), *([F.lit(fmt) if not strict else fmt] if fmt else [])))
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
+def drop_exact_duplicates(df: DataFrame, screen: bool = True) -> DataFrame:
     """Keep one of each group of rows that agree in every column, nulls included.
 
-    Spark plans this as an aggregate over all columns: copies within a task collapse before the
-    shuffle, so a row repeated a billion times sends at most one row per task.
+    The plain form (`screen=False`, also taken for streams) is one aggregate over all columns: lazy, but
+    it shuffles whole rows, keeps any column from being pruned, and does so again in every later action.
+
+    Screening first runs one job that shuffles only a 64-bit hash per row and notes the hashes that
+    occur more than once. Equal rows have equal hashes, so every other row is unique and needs no
+    shuffle; only the noted ones are compared column by column. Without repeats the table is returned as
+    it is. If too many hashes repeat to be copied to every executor, the plain form is the answer.
+
+    In both forms copies combine within a task before the shuffle, however often a row is repeated.
     """
-    return df.dropDuplicates()
+    if not screen or df.isStreaming:
+        return df.dropDuplicates()
+    mark = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
+    repeated = durable(
+        df.groupBy(mark.alias("_mark")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("_mark")
+    )
+    found = repeated.count()
+    if found == 0:
+        return df
+    if found > BROADCAST_ROWS:
+        return df.dropDuplicates()
+    marked, repeated = df.withColumn("_mark", mark), F.broadcast(repeated)
+    unique = marked.join(repeated, "_mark", "left_anti").select(*df.columns)
+    copies = marked.join(repeated, "_mark", "left_semi").select(*df.columns)
+    return unique.union(copies.dropDuplicates())
 
 
-def clean(df: DataFrame, strict: bool = False) -> DataFrame:
+def clean(df: DataFrame, strict: bool = False, screen: bool = True) -> DataFrame:
     """Fill, then parse, then de-duplicate."""
-    return df.transform(fill_missing).transform(parse_time, strict=strict).transform(drop_exact_duplicates)
+    filled = df.transform(fill_missing).transform(parse_time, strict=strict)
+    return drop_exact_duplicates(filled, screen)

@@ -40,11 +40,42 @@ def missing(column: str) -> Column:
     return F.count_if(F.col(column).isNull())
 
 
-def distinct(column: str, approx: bool = False) -> Column:
-    """Aggregate: different values in `column`, null being one of them."""
-    count = F.approx_count_distinct if approx else F.count_distinct
-    any_null = F.coalesce(F.max(F.col(column).isNull()).cast("bigint"), F.lit(0))
-    return count(F.col(column)) + any_null
+def _as_key(df: DataFrame, column: str) -> tuple[str, Column]:
+    """(family, value): whole numbers, fractions and everything else, so that no two values merge."""
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.IntegralType):
+        return "whole", F.col(column).cast("bigint")
+    if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
+        return "fraction", F.col(column).cast("double")
+    return "text", F.hex(column) if isinstance(dtype, T.BinaryType) else F.col(column).cast("string")
+
+
+def _exact_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row with the number of different values of each column, null being one of them.
+
+    The table is turned into narrow (column number, value) rows, which combine within tasks before their
+    one shuffle. Several `count_distinct` in one aggregate would carry all columns in every such row.
+    """
+    keys = [_as_key(df, c) for c in columns]
+    families = {"whole": "bigint", "fraction": "double", "text": "string"}
+    used = [f for f in families if f in {family for family, _ in keys}]
+    cells: list[Column] = []
+    for number, (family, value) in enumerate(keys):
+        cells += [F.lit(number), *[value if f == family else F.lit(None).cast(families[f]) for f in used]]
+    values = df.select(F.stack(F.lit(len(columns)), *cells).alias("number", *used)).distinct()
+    return values.agg(*[F.count_if(F.col("number") == i).alias(c) for i, c in enumerate(columns)])
+
+
+def _distinct(df: DataFrame, columns: list[str], approx: bool) -> dict[str, Column]:
+    """Expression per column for use in an aggregate over `df`."""
+    if not approx:
+        counts = _exact_distinct(df, columns)
+        row = counts.select(F.struct(*[F.col(f"`{c}`") for c in columns])).scalar()
+        return {c: row[c] for c in columns}
+    return {
+        c: F.approx_count_distinct(c) + F.coalesce(F.max(F.col(c).isNull()).cast("bigint"), F.lit(0))
+        for c in columns
+    }
 
 
 def column_overview(df: DataFrame) -> DataFrame:
@@ -65,9 +96,12 @@ def column_overview(df: DataFrame) -> DataFrame:
 
 def distinct_count(df: DataFrame, *columns: str, approx: bool = False) -> DataFrame:
     """Different values per column, null counted as one; `approx` keeps a sketch instead of the values."""
-    return _one_row_per_column(
-        df, [F.struct(F.lit(c).alias("column"), distinct(c, approx).alias("distinct")) for c in columns]
-    )
+    if approx:
+        counts = df.agg(*[value.alias(c) for c, value in _distinct(df, list(columns), True).items()])
+    else:
+        counts = _exact_distinct(df, list(columns))
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("distinct")) for c in columns]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def missing_count(df: DataFrame, *columns: str) -> DataFrame:
@@ -120,17 +154,19 @@ def describe_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def column_profile(df: DataFrame, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
     """Type, distinct, missing, mean, deviation, minimum and maximum of each numeric column.
 
-    Exact distinct counts of k columns make Spark carry k rows per input row into a partial aggregate;
-    `approx=True` keeps k small sketches per task instead and shuffles nothing else.
+    One aggregate without a shuffle of values gives everything but the exact distinct counts, which are
+    a scalar subquery of their own (see `_exact_distinct`); `approx=True` makes them small sketches in
+    that same aggregate.
     """
     chosen = numeric_columns(df) if columns is None else columns
+    distinct = _distinct(df, chosen, approx)
     return _one_row_per_column(
         df,
         [
             F.struct(
                 F.lit(c).alias("column"),
                 F.lit(column_type(df, c)).alias("type"),
-                distinct(c, approx).alias("distinct"),
+                distinct[c].alias("distinct"),
                 missing(c).alias("missing"),
                 *_moments(c),
             )

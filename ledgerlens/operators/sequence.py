@@ -9,16 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import epoch_micros
 from ledgerlens.schema import CUSTOMER, ID, TIME
-from ledgerlens.scratch import durable
+from ledgerlens.scratch import broadcast_if_small, durable
 
-# Rows of one customer that a single task may sort, and key lists small enough to broadcast.
+# Rows of one customer that a single task may sort.
 HEAVY_ROWS = 2_000_000
-BROADCAST_ROWS = 200_000
-
-
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast when the counted `rows` allow it; otherwise Spark shuffles."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def _previous_in_one_task(df: DataFrame, customer: str, time: str, tie: str, out: str) -> DataFrame:
@@ -51,7 +45,7 @@ def _previous_across_tasks(
     same = F.col("_slice").eqNullSafe(F.col("_at")) & F.col(customer).eqNullSafe(F.col("_key"))
     return (
         ranged.withColumn("_near", F.lag(time).over(inside))
-        .join(_small(carried, slices + heavy_keys), same, "left")
+        .join(broadcast_if_small(carried, slices + heavy_keys), same, "left")
         .withColumn(out, F.coalesce("_near", "_carried"))
         .select(*df.columns, out)
     )
@@ -76,7 +70,7 @@ def with_previous_time(
     if not found["keys"]:
         return _previous_in_one_task(df, customer, time, tie, out)
 
-    keys = _small(durable(heavy.select("_heavy")), found["keys"])
+    keys = broadcast_if_small(durable(heavy.select("_heavy")), found["keys"])
     is_heavy = key.eqNullSafe(F.col("_heavy"))
     slices = math.ceil(found["rows"] / heavy_rows) + 1
     light = _previous_in_one_task(df.join(keys, is_heavy, "left_anti"), customer, time, tie, out)

@@ -54,9 +54,27 @@ def test_rows_equal_only_after_filling_collapse(spark):
     assert clean.clean(df).count() == 1
 
 
+@pytest.mark.parametrize("screen,small", [(False, 10), (True, 0), (True, 10), (True, 10**6)])
+def test_every_way_of_dropping_duplicates_agrees(spark, screen, small, monkeypatch):
+    monkeypatch.setattr(clean, "BROADCAST_ROWS", small)
+    rows = [(i, None if i % 5 else "x", float(i)) for i in range(300)]
+    rows += [(1, None, 1.0)] * 150 + rows[40:60] + [(7, None, float("nan"))] * 2 + [(8, None, 0.0), (8, None, -0.0)]
+    df = spark.createDataFrame(rows, "a int, b string, c double").repartition(5)
+    got = clean.drop_exact_duplicates(df, screen=screen)
+    assert got.columns == df.columns
+    want = [str(r).replace("-0.0", "0.0") for r in df.dropDuplicates().collect()]
+    assert sorted(str(r).replace("-0.0", "0.0") for r in got.collect()) == sorted(want)
+
+
+def test_a_table_without_copies_is_not_shuffled(spark):
+    df = spark.range(100).select("id", (F.col("id") * 2).alias("b"))
+    plan = clean.drop_exact_duplicates(df).select("b")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_copies_collapse_before_the_shuffle(spark):
     df = spark.range(1000).select(F.lit("same").alias("a"), (F.col("id") % 2).alias("b"))
-    plan = clean.drop_exact_duplicates(df)._jdf.queryExecution().executedPlan().toString()
+    plan = clean.drop_exact_duplicates(df, screen=False)._jdf.queryExecution().executedPlan().toString()
     below_exchange = plan.split("Exchange hashpartitioning")[1]
     assert "HashAggregate" in below_exchange
 

@@ -39,6 +39,22 @@ def test_null_is_a_distinct_value(table):
     assert [r.distinct for r in profile.distinct_count(table, "s", approx=True).collect()] == [3]
 
 
+def test_distinct_keeps_close_values_of_every_type_apart(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (9007199254740992, 1.5D, 1.10BD, true, X'01', timestamp'2024-01-01 00:00:00.000001'),"
+        "(9007199254740993, double('NaN'), 1.11BD, false, X'02', timestamp'2024-01-01 00:00:00.000002'),"
+        "(NULL, double('NaN'), NULL, true, NULL, NULL) AS t(a, b, c, d, e, f)"
+    )
+    rows = profile.distinct_count(df, *df.columns).collect()
+    assert {r.column: r.distinct for r in rows} == {"a": 3, "b": 2, "c": 3, "d": 2, "e": 3, "f": 3}
+
+
+def test_exact_and_approximate_profile_agree_on_small_columns(table):
+    exact, approx = profile.column_profile(table), profile.column_profile(table, approx=True)
+    assert exact.collect() == approx.collect()
+    assert exact.dtypes == approx.dtypes
+
+
 def test_distinct_of_no_rows_is_zero(table):
     assert profile.distinct_count(table.limit(0), "s").collect() == [("s", 0)]
 
