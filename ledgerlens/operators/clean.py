@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.schema import TIME
-from ledgerlens.scratch import BROADCAST_ROWS, durable
+from ledgerlens.scratch import BROADCAST_ROWS, durable, estimated_bytes
 
 # What stands in for a missing category.
 FILL_VALUES = {"device_type": "unknown"}
@@ -33,11 +33,16 @@ def parse_time(
     return df.withColumn(column, parse(F.col(column), *([F.lit(fmt) if not strict else fmt] if fmt else [])))
 
 
-def drop_exact_duplicates(df: DataFrame, screen: bool = True) -> DataFrame:
+# Estimated size from which shuffling whole rows costs more than a job that looks for repeats first.
+SCREEN_BYTES = 1 << 30
+
+
+def drop_exact_duplicates(df: DataFrame, screen: bool | None = None) -> DataFrame:
     """Keep one of each group of rows that agree in every column, nulls included.
 
     The plain form (`screen=False`, also taken for streams) is one aggregate over all columns: lazy, but
     it shuffles whole rows, keeps any column from being pruned, and does so again in every later action.
+    Unless told otherwise it serves tables estimated below `SCREEN_BYTES`.
 
     Screening first runs one job that shuffles only a 64-bit hash per row and notes the hashes that
     occur more than once. Equal rows have equal hashes, so every other row is unique and needs no
@@ -46,7 +51,7 @@ def drop_exact_duplicates(df: DataFrame, screen: bool = True) -> DataFrame:
 
     In both forms copies combine within a task before the shuffle, however often a row is repeated.
     """
-    if not screen or df.isStreaming:
+    if df.isStreaming or screen is False or (screen is None and estimated_bytes(df) < SCREEN_BYTES):
         return df.dropDuplicates()
     mark = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
     repeated = durable(
@@ -63,7 +68,7 @@ def drop_exact_duplicates(df: DataFrame, screen: bool = True) -> DataFrame:
     return unique.union(copies.dropDuplicates())
 
 
-def clean(df: DataFrame, strict: bool = False, screen: bool = True) -> DataFrame:
+def clean(df: DataFrame, strict: bool = False, screen: bool | None = None) -> DataFrame:
     """Fill, then parse, then de-duplicate."""
     filled = df.transform(fill_missing).transform(parse_time, strict=strict)
     return drop_exact_duplicates(filled, screen)

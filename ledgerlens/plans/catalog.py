@@ -146,6 +146,12 @@ def drop_duplicates(spark, sf_dir):
     return clean.drop_exact_duplicates(_with_copies(spark, sf_dir))
 
 
+@query("C3_drop_duplicates_screened")
+def drop_duplicates_screened(spark, sf_dir):
+    """C3 in the form that large tables take."""
+    return clean.drop_exact_duplicates(_with_copies(spark, sf_dir), screen=True)
+
+
 @query("C4_clean")
 def clean_all(spark, sf_dir):
     return clean.clean(_with_copies(spark, sf_dir))

@@ -139,6 +139,7 @@ ORACLE: dict[str, str] = {
         "ELSE CAST(timestamp AS VARCHAR) END AS TIMESTAMP) AS timestamp FROM t"
     ),
     "C3_drop_duplicates": _tx(f"SELECT DISTINCT * FROM ({COPIES})"),
+    "C3_drop_duplicates_screened": _tx(f"SELECT DISTINCT * FROM ({COPIES})"),
     "C4_clean": _tx(f"SELECT DISTINCT {FILLED} FROM ({COPIES})"),
     "P1_row_count": _tx("SELECT COUNT(*) AS n_rows FROM t"),
     "P2_columns": _tx(

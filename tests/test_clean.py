@@ -66,9 +66,17 @@ def test_every_way_of_dropping_duplicates_agrees(spark, screen, small, monkeypat
     assert sorted(str(r).replace("-0.0", "0.0") for r in got.collect()) == sorted(want)
 
 
+@pytest.mark.parametrize("limit,shuffled", [(10**9, True), (1, False)])
+def test_size_decides_unless_told(spark, monkeypatch, limit, shuffled):
+    monkeypatch.setattr(clean, "SCREEN_BYTES", limit)
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    plan = clean.drop_exact_duplicates(df)._jdf.queryExecution().executedPlan().toString()
+    assert ("HashAggregate" in plan) == shuffled
+
+
 def test_a_table_without_copies_is_not_shuffled(spark):
     df = spark.range(100).select("id", (F.col("id") * 2).alias("b"))
-    plan = clean.drop_exact_duplicates(df).select("b")._jdf.queryExecution().executedPlan().toString()
+    plan = clean.drop_exact_duplicates(df, screen=True).select("b")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
 
