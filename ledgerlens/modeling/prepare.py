@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Transformer
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,25 +41,30 @@ def feature_roles(df: DataFrame, features: list[str]) -> tuple[list[str], list[s
     return roles["categorical"], roles["numeric"]
 
 
+def class_sizes(label: str = LABEL) -> dict[str, Column]:
+    """Aggregates: rows of either class."""
+    return {"ones": F.count_if(F.col(label) == 1), "zeros": F.count_if(F.col(label) == 0)}
+
+
+def balanced_weight(label: str, ones: Column, zeros: Column) -> Column:
+    """The other class's share of the rows; 1 for every row when there is only one class."""
+    share = F.when(F.col(label) == 1, zeros).otherwise(ones) / (ones + zeros)
+    return F.when((ones > 0) & (zeros > 0), share).otherwise(F.lit(1.0))
+
+
 def class_weights(
     df: DataFrame, label: str = LABEL, weighting: str = "balanced", weight: str = WEIGHT
 ) -> DataFrame:
-    """Add a weight inverse to class frequency: each class gets the other one's share of the rows.
+    """Add a weight inverse to class frequency, or 1 everywhere with `weighting="none"`.
 
-    With one class only, or `weighting="none"`, every weight is 1. The two counts are a scalar
-    subquery over the label column, so this stays lazy and joins nothing.
+    The two class sizes are a scalar subquery over the label column, so this stays lazy and joins nothing.
     """
     if weighting == "none":
         return df.withColumn(weight, F.lit(1.0))
     if weighting != "balanced":
         raise ValueError(f"weighting must be 'balanced' or 'none', not {weighting!r}")
-    is_one = F.col(label) == 1
-    sizes = df.agg(
-        F.struct(F.count_if(is_one).alias("ones"), F.count_if(F.col(label) == 0).alias("zeros"))
-    ).scalar()
-    ones, zeros = sizes["ones"], sizes["zeros"]
-    share = F.when(is_one, zeros).otherwise(ones) / (ones + zeros)
-    return df.withColumn(weight, F.when((ones > 0) & (zeros > 0), share).otherwise(F.lit(1.0)))
+    sizes = df.agg(F.struct(*[size.alias(name) for name, size in class_sizes(label).items()])).scalar()
+    return df.withColumn(weight, balanced_weight(label, sizes["ones"], sizes["zeros"]))
 
 
 def feature_stages(categorical: list[str], numeric: list[str]) -> list[Estimator | Transformer]:

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.modeling.prepare import FEATURES, WEIGHT, class_weights, feature_stages
+from ledgerlens.modeling.prepare import FEATURES, WEIGHT, balanced_weight, class_sizes, feature_stages
 from ledgerlens.operators.evaluate import PREDICTION, evaluate, hash_sample
 from ledgerlens.schema import LABEL
 
@@ -58,18 +58,25 @@ def _estimator(model: str, label: str, params: dict[str, Any] | None):
     )
 
 
-def _check_inputs(df: DataFrame, categorical: list[str], numeric: list[str], max_categories: int) -> None:
-    """Refuse what the stages cannot take: a number column without values, text with too many values."""
+def _inspect(
+    df: DataFrame, categorical: list[str], numeric: list[str], label: str, max_categories: int
+) -> tuple[int, int]:
+    """Rows of class 1 and of class 0, after refusing what the stages cannot take: a number column
+    without values, text with too many different ones."""
+    sizes = class_sizes(label)
     facts = df.agg(
-        *[F.count(c).alias(c) for c in numeric],
-        *[F.approx_count_distinct(c).alias(c) for c in categorical],
+        *sizes.values(),
+        *[F.count(c) for c in numeric],
+        *[F.approx_count_distinct(c) for c in categorical],
     ).first()
-    empty = [c for c in numeric if facts[c] == 0]
+    (ones, zeros), values = facts[:2], facts[2 : 2 + len(numeric)]
+    empty = [c for c, n in zip(numeric, values, strict=True) if n == 0]
     if empty:
         raise ValueError(f"no values to fill gaps from in: {', '.join(empty)}")
-    wide = [c for c in categorical if facts[c] > max_categories]
+    wide = [c for c, n in zip(categorical, facts[2 + len(numeric) :], strict=True) if n > max_categories]
     if wide:
         raise ValueError(f"more than {max_categories} different values in: {', '.join(wide)}")
+    return ones, zeros
 
 
 def train_model(
@@ -85,17 +92,20 @@ def train_model(
     """Fit the feature stages and the named model as one Spark ML pipeline (runs jobs).
 
     `params` overrides the model's settings. Only the columns the model needs are kept in memory (or on
-    disk where memory is short) while the stages and the iterations read them again.
+    disk where memory is short). One aggregate fills that copy, checks it and counts the classes; the
+    stages and the iterations then read the copy.
     """
+    if weighting not in ("balanced", "none"):
+        raise ValueError(f"weighting must be 'balanced' or 'none', not {weighting!r}")
     estimator = _estimator(model, label, params)
-    needed = df.select(*dict.fromkeys([*categorical, *numeric, label]))
-    weighted = class_weights(needed, label, weighting).persist(StorageLevel.MEMORY_AND_DISK)
+    needed = df.select(*dict.fromkeys([*categorical, *numeric, label])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if categorical or numeric:
-            _check_inputs(weighted, categorical, numeric, max_categories)
-        return Pipeline(stages=[*feature_stages(categorical, numeric), estimator]).fit(weighted)
+        ones, zeros = _inspect(needed, categorical, numeric, label, max_categories)
+        weight = balanced_weight(label, F.lit(ones), F.lit(zeros)) if weighting == "balanced" else F.lit(1.0)
+        stages = [*feature_stages(categorical, numeric), estimator]
+        return Pipeline(stages=stages).fit(needed.withColumn(WEIGHT, weight))
     finally:
-        weighted.unpersist()
+        needed.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
