@@ -119,7 +119,8 @@ def evaluate_model(
     label: str = LABEL,
     sample_fraction: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(one-row metrics, scored rows), both lazy; persist `test` to read it once for both.
+    """(one-row metrics, scored rows). The metrics score `test` once, reducing it to counts per score
+    right away; the scored rows are lazy, so persist `test` if it is costly to compute twice.
 
     Ranking uses the raw prediction, which for a single tree is the weighted class count of the leaf.
     Every row counts unless `sample_fraction` asks for a reproducible share.

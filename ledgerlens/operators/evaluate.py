@@ -110,10 +110,15 @@ def prediction_distribution(df: DataFrame, prediction: str = PREDICTION) -> Data
 
 
 def sample_predictions(
-    df: DataFrame, features: list[str], label: str = LABEL, id_col: str = ID, n: int = 100
+    df: DataFrame, features: list[str], label: str = LABEL, id_col: str | None = ID, n: int = 100
 ) -> DataFrame:
-    """Label, prediction, probability and the first three features of `n` scored rows, by id."""
-    return df.orderBy(id_col).limit(n).select(label, PREDICTION, "probability", *features[:3])
+    """Label, prediction, probability and the first three features of `n` scored rows.
+
+    The rows with the first ids are the same on every run but every row gets scored to find them; with
+    `id_col=None` Spark stops after any `n`.
+    """
+    ordered = df if id_col is None else df.orderBy(id_col)
+    return ordered.limit(n).select(label, PREDICTION, "probability", *features[:3])
 
 
 # Distinct scores that a single task may put in order.

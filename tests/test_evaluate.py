@@ -133,3 +133,4 @@ def test_sample_predictions(scored):
     got = evaluate.sample_predictions(df, ["score", "transaction_id"], n=5)
     assert got.columns == ["is_fraud", "prediction", "probability", "score", "transaction_id"]
     assert got.count() == 5
+    assert evaluate.sample_predictions(df, ["score"], id_col=None, n=5).count() == 5
