@@ -39,7 +39,7 @@ def test_durable_rows_keep_their_order_of_columns_types_and_slices(spark):
 def test_broadcast_only_below_the_bound(spark):
     df = spark.range(10)
     hinted = scratch.broadcast_if_small(df, 10)._jdf.queryExecution().logical().toString()
-    assert "strategy=broadcast" in hinted
+    assert "Hint broadcast" in hinted
     assert scratch.broadcast_if_small(df, scratch.BROADCAST_ROWS + 1) is df
 
 
