@@ -180,6 +180,7 @@ OUTPUTS = {
     "ids_sha256": ("string", pa.string()),
     "decoded": ("string", pa.string()),
     "decoded_sha256": ("string", pa.string()),
+    "round_trip": ("boolean", pa.bool_()),
 }
 
 # Texts sent on in one Arrow batch, in characters: ids and decoded text of more are not held together.
@@ -207,8 +208,8 @@ def encode_documents(
     """Encode every whole text and decode it again; one row per row of `docs`, no shuffle.
 
     `vocabulary` is a tokenizer file that the driver can open. Kept columns come first; `outputs` chooses
-    among `token_ids`, `n_tokens`, `ids_sha256` (of the decimal ids joined by commas), `decoded` and
-    `decoded_sha256`, so digests can be had without moving ids out of the tasks. Null and empty texts have
+    among `token_ids`, `n_tokens`, `ids_sha256` (of the decimal ids joined by commas), `decoded`,
+    `decoded_sha256` and `round_trip` (the decoded text is the text), so digests can be had without moving ids out of the tasks. Null and empty texts have
     no tokens and decode to the empty text. Repeated rows stay repeated, an empty table gives an empty one.
     Kept columns may be null; one named like an output is an error.
     """
@@ -226,7 +227,7 @@ def encode_documents(
                 made: dict[str, list] = {name: [] for name in outputs}
                 for text in whole[a:b]:
                     ids = v.encode(text)
-                    decoded = v.decode(ids) if {"decoded", "decoded_sha256"} & set(outputs) else ""
+                    decoded = v.decode(ids) if {"decoded", "decoded_sha256", "round_trip"} & set(outputs) else ""
                     for name in outputs:
                         if name == "token_ids":
                             made[name].append(pa.array(ids, pa.int32()))
@@ -234,6 +235,8 @@ def encode_documents(
                             made[name].append(len(ids))
                         elif name == "ids_sha256":
                             made[name].append(hashlib.sha256(repr(ids)[1:-1].replace(" ", "").encode()).hexdigest())
+                        elif name == "round_trip":
+                            made[name].append(decoded == text)
                         elif name == "decoded":
                             made[name].append(decoded)
                         else:

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, fingerprint, sharding
+from ledgerlens.llm import (
+    bpe,
+    chunks,
+    decontaminate,
+    fingerprint,
+    jaccard,
+    langid,
+    licences,
+    quality,
+    sharding,
+    warc,
+)
+from ledgerlens.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,3 +69,52 @@ def op6_sharding(spark, sf_dir):
     return sharding.shard_documents(documents(spark, sf_dir)).withColumns(
         {"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}
     )
+
+
+@query("op10_quality")
+def op10_quality(spark, sf_dir):
+    return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op3_jaccard")
+def op3_jaccard(spark, sf_dir):
+    return jaccard.similarity_components(documents(spark, sf_dir))
+
+
+@query("op7_decontaminate")
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op8_substrings")
+def op8_substrings(spark, sf_dir):
+    return chunks.drop_repeated_substrings(documents(spark, sf_dir))
+
+
+OP1_SQL = """
+    WITH facts AS (
+        SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+        FROM pages
+    ), firsts AS (SELECT payload_digest, max(page_id) AS first FROM facts WHERE payload_bytes >= 1000 GROUP BY 1)
+    SELECT f.page_id, f.payload_bytes, f.payload_digest,
+           CASE WHEN f.page_id <> g.first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN f.page_id <> g.first THEN g.first END AS refers_to
+    FROM facts f LEFT JOIN firsts g ON f.payload_digest = g.payload_digest AND f.payload_bytes >= 1000
+"""
+
+
+@query("op1_warc", OP1_SQL)
+def op1_warc(spark, sf_dir):
+    path = scratch_path(spark, "archives")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    return warc.pages_of(warc.read_archives(spark, path))
+
+
+@query("op2_langid")
+def op2_langid(spark, sf_dir):
+    return langid.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
+
+
+@query("op9_licences")
+def op9_licences(spark, sf_dir):
+    return licences.scan(documents(spark, sf_dir))

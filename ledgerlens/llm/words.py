@@ -17,8 +17,10 @@ SHINGLE_WORDS = 5
 # Bytes of text looked at together; a longer text is taken alone, in pieces cut at separators.
 SLICE_BYTES = 1 << 20
 
-_SEPARATOR = np.zeros(256, bool)
-_SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+SPACES = np.zeros(256, bool)
+SPACES[[0x20, *range(0x09, 0x0E)]] = True
+# Also everything else in ASCII that is no letter or digit, for words without their punctuation.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -48,10 +50,10 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def _hashes(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hashes(data: np.ndarray, first: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and number of each word of `data`; a word also ends where a text begins (`first`)."""
     n = len(data)
-    inside = ~_SEPARATOR[data]
+    inside = ~separators[data]
     cut = np.zeros(n + 1, bool)
     cut[first[first < n]] = True
     cut[n] = True
@@ -69,13 +71,13 @@ def _hashes(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, mix((total[ends] - total[starts]) * down[starts])
 
 
-def _pieces(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _pieces(data: np.ndarray, separators: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """A long text in pieces of about SLICE_BYTES that end at separators (or where the text does)."""
     at = 0
     while at < len(data):
         stop = min(len(data), at + SLICE_BYTES)
         while stop < len(data):
-            found = np.flatnonzero(_SEPARATOR[data[stop : stop + SLICE_BYTES]])
+            found = np.flatnonzero(separators[data[stop : stop + SLICE_BYTES]])
             if len(found):
                 stop += int(found[0])
                 break
@@ -97,19 +99,19 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """The words of some consecutive texts: `value`, byte `start` and `end`; text i has bounds[i]:bounds[i+1]."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> None:
         base, size = int(offsets[0]), int(offsets[-1] - offsets[0])
         parts = (
             [(0, data[base : base + size])]
             if size <= 2 * SLICE_BYTES
-            else _pieces(data[base : base + size])
+            else _pieces(data[base : base + size], separators)
         )
         first = offsets[:-1] - base
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
         for at, piece in parts:
             if len(piece):
                 near = first[(first >= at) & (first < at + len(piece))] - at
-                s, e, h = _hashes(piece, near)
+                s, e, h = _hashes(piece, near, separators)
                 found.append((s + at, e + at, h))
         start, end, self.value = (np.concatenate(x) for x in zip(*found))
         self.bounds = np.searchsorted(start, offsets - base)
@@ -130,7 +132,9 @@ def shingle_values(words: np.ndarray, n: int = SHINGLE_WORDS) -> np.ndarray:
     return mix(value)
 
 
-def batches_of_words(texts: pa.Array) -> Iterator[tuple[int, int, Words, np.ndarray, np.ndarray]]:
+def batches_of_words(
+    texts: pa.Array, separators: np.ndarray = SPACES
+) -> Iterator[tuple[int, int, Words, np.ndarray, np.ndarray]]:
     """(first row, end row, words, data, offsets) for runs of rows of about SLICE_BYTES together."""
     data, offsets = utf8(texts)
     n, row = len(offsets) - 1, 0
@@ -138,5 +142,5 @@ def batches_of_words(texts: pa.Array) -> Iterator[tuple[int, int, Words, np.ndar
         stop = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, side="right")) - 1
         stop = min(n, max(stop, row + 1))
         part = offsets[row : stop + 1]
-        yield row, stop, Words(data, part), data, part
+        yield row, stop, Words(data, part, separators), data, part
         row = stop
