@@ -37,6 +37,8 @@ PAIRS_PER_SET = 6
 COARSE = 16
 BLOCK_PAIRS = 500_000
 TOKEN_BYTES = 5
+# Sets (24 bytes each) that are broadcast to their shingles at most; beyond, both sides are shuffled.
+BROADCAST_SETS = 500_000
 
 
 def _sets(column: pa.Array) -> Iterator[tuple[np.ndarray, int]]:
@@ -353,7 +355,9 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str = "text") ->
         .where("4 * n_shared >= 3 * n")
         .select("set_id", "n", (1 - F.col("n_shared") / F.col("n")).alias("alone"))
     )
-    segments = durable(shared.drop("n_shared").join(durable(alive), "set_id"))
+    alive = durable(alive)
+    few = F.broadcast(alive) if alive.count() <= BROADCAST_SETS else alive
+    segments = durable(shared.drop("n_shared").join(few, "set_id"))
     votes = segments.groupBy("frag").applyInArrow(
         _leader_pairs, "x bigint, y bigint, nx bigint, ny bigint, votes bigint"
     )
