@@ -55,7 +55,7 @@ def preview(df: DataFrame, n: int = 10, by: str | None = None) -> DataFrame:
     return (df.orderBy(by) if by else df).limit(n)
 
 
-def run_sql(spark: SparkSession, text: str, limit: int | None = RESULT_CAP) -> DataFrame:
-    """Run any query over the registered views, keeping `limit` rows as the interactive page does."""
+def run_sql(spark: SparkSession, text: str, limit: int | None = None) -> DataFrame:
+    """Run any query over the registered views, every row of its result, or the first `limit` (a page shows RESULT_CAP)."""
     result = spark.sql(text)
     return result if limit is None else result.limit(limit)

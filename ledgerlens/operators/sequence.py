@@ -64,6 +64,8 @@ def with_previous_time(
     Counts rows per customer first (one narrow pass, combined before its shuffle). Customers up to
     `heavy_rows` take the ordinary window; larger ones are sliced, see `_previous_across_tasks`.
     """
+    if heavy_rows < 1:
+        raise ValueError("heavy_rows must be at least 1")
     key = F.col(customer)
     heavy = df.groupBy(key.alias("_heavy")).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > heavy_rows)
     found = heavy.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()

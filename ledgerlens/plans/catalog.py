@@ -337,9 +337,9 @@ def time_since_previous(spark, sf_dir):
 def time_since_previous_hot(spark, sf_dir):
     """R1 where one customer holds a third of all rows and a task may sort a 24th of them."""
     rows = transactions(spark, sf_dir).drop("time_since_last")
-    in_third = F.substring("customer_id", 6, 8).cast("bigint") % 3 == 0
+    in_third = F.expr("substr(customer_id, 6)").cast("bigint") % 3 == 0
     hot = rows.withColumn("customer_id", F.when(in_third, F.lit("CUST_HOT")).otherwise(F.col("customer_id")))
-    return sequence.time_since_previous(hot, heavy_rows=rows.count() // 24).select(
+    return sequence.time_since_previous(hot, heavy_rows=max(1, rows.count() // 24)).select(
         "transaction_id", "customer_id", "time_since_last"
     )
 

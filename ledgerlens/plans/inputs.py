@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+def _padded(prefix: str, column: str, digits: int) -> str:
+    """An id with leading zeros up to `digits`; longer numbers keep all their digits."""
+    text = f"CAST({column} AS VARCHAR(20))"
+    return f"concat('{prefix}', lpad({text}, CAST(greatest({digits}, length({text})) AS INT), '0'))"
+
+
 # Column expressions valid in both engines; `k` is the number held in `props`.
 TRANSACTION_COLUMNS = {
-    "transaction_id": "concat('TXN_', lpad(CAST(event_id AS VARCHAR(20)), 12, '0'))",
+    "transaction_id": _padded("TXN_", "event_id", 12),
     "timestamp": "ts",
-    "customer_id": "concat('CUST_', lpad(CAST(user_id AS VARCHAR(20)), 8, '0'))",
+    "customer_id": _padded("CUST_", "user_id", 8),
     "amount": "value",
     "currency": "'USD'",
     "merchant_category": "event_type",
@@ -30,7 +36,7 @@ TRANSACTION_COLUMNS = {
 K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
 
 PROFILE_COLUMNS = {
-    "customer_id": "concat('CUST_', lpad(CAST(c_custkey AS VARCHAR(20)), 8, '0'))",
+    "customer_id": _padded("CUST_", "c_custkey", 8),
     "home_lat": "CAST(c_nationkey * 7 - 84 AS DOUBLE)",
     "home_long": "CAST(c_nationkey * 14 - 168 AS DOUBLE)",
 }

@@ -132,7 +132,7 @@ ORACLE: dict[str, str] = {
     "S1_parquet_scan": f"SELECT event_id, value FROM events WHERE value > {HIGH}",
     "S2_registered_view": _tx("SELECT currency, COUNT(*) AS n FROM t GROUP BY currency"),
     "S3_preview": _tx("SELECT * FROM t ORDER BY transaction_id LIMIT 10"),
-    "S4_export_result": _tx(_rate_by("customer_id", tail="ORDER BY fraud_percent DESC, customer_id LIMIT 1000")),
+    "S4_export_result": _tx(_rate_by("customer_id", tail="ORDER BY fraud_percent DESC, customer_id")),
     "C1_fill_missing": _tx("SELECT transaction_id, COALESCE(device_type, 'unknown') AS device_type FROM t"),
     "C2_parse_time": _tx(
         "SELECT transaction_id, TRY_CAST(CASE WHEN is_fraud = 1 THEN concat('at ', customer_id) "
@@ -201,7 +201,7 @@ ORACLE: dict[str, str] = {
     "A7_default_listing": _tx("SELECT * FROM t ORDER BY transaction_id LIMIT 10"),
     "A8_free_sql": _tx(
         "SELECT customer_id, home_lat, n, largest, CAST(frauds AS BIGINT) AS frauds "
-        f"FROM ({FREE_SQL}) ORDER BY n DESC, customer_id LIMIT 1000",
+        f"FROM ({FREE_SQL}) ORDER BY n DESC, customer_id",
         "transactions AS (SELECT * FROM t)",
         "profiles AS (SELECT * FROM p)",
     ),
@@ -218,7 +218,7 @@ ORACLE: dict[str, str] = {
     ),
     "R1_time_since_previous": _tx(_gap("customer_id")),
     "R1_time_since_previous_hot_customer": _tx(
-        _gap("CASE WHEN CAST(substr(customer_id, 6, 8) AS BIGINT) % 3 = 0 THEN 'CUST_HOT' ELSE customer_id END")
+        _gap("CASE WHEN CAST(substr(customer_id, 6) AS BIGINT) % 3 = 0 THEN 'CUST_HOT' ELSE customer_id END")
     ),
     "R2_attach_home": _tx(
         "SELECT transaction_id, t.customer_id, home_lat, home_long FROM t "

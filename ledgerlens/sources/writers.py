@@ -13,18 +13,21 @@ CSV_TIME_FORMATS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
 
+# Spaces around text are part of it.
+CSV_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 # Fixed value: rows a query result may have when exported from the SQL page.
 RESULT_CAP = 1000
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write headed CSV without losing sub-millisecond time."""
-    df.write.mode(mode).option("header", True).options(**CSV_TIME_FORMATS).csv(path)
+    df.write.mode(mode).option("header", True).options(**CSV_TIME_FORMATS, **CSV_SPACES).csv(path)
 
 
-def export_result(df: DataFrame, path: str, limit: int = RESULT_CAP, mode: str = "errorifexists") -> None:
-    """Export a query result; as in the interactive query page at most `limit` rows are kept."""
-    write_csv(df.limit(limit), path, mode)
+def export_result(df: DataFrame, path: str, limit: int | None = None, mode: str = "errorifexists") -> None:
+    """Export a query result: every row, or the first `limit` (the interactive page exports RESULT_CAP)."""
+    write_csv(df if limit is None else df.limit(limit), path, mode)
 
 
 def flatten_predictions(df: DataFrame, positive: str = "p_fraud") -> DataFrame:

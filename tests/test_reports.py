@@ -1,7 +1,8 @@
 import pytest
 
 from ledgerlens.operators import reports
-from ledgerlens.sources import export_result, read_csv, register
+from ledgerlens.plans.inputs import transactions
+from ledgerlens.sources import export_result, read_csv, register, write_csv
 
 
 @pytest.fixture(scope="module")
@@ -77,17 +78,34 @@ def test_preview(table):
     assert [r.transaction_id for r in reports.preview(table, 2, by="transaction_id").collect()] == ["T00", "T01"]
 
 
-def test_free_sql_is_capped_and_reports_errors(spark, table):
+def test_free_sql_gives_every_row_or_a_limit_and_reports_errors(spark, table):
     register(table, "transactions")
     text = "SELECT a.transaction_id FROM transactions a JOIN transactions b ON a.is_fraud = b.is_fraud"
-    assert reports.run_sql(spark, text).count() == 1000
-    assert reports.run_sql(spark, text, limit=None).count() == 12 * 12 + 36 * 36
+    assert reports.run_sql(spark, text).count() == 12 * 12 + 36 * 36
+    assert reports.run_sql(spark, text, limit=1000).count() == 1000
     with pytest.raises(Exception, match="nowhere"):
         reports.run_sql(spark, "SELECT * FROM nowhere")
     with pytest.raises(Exception, match="PARSE_SYNTAX_ERROR"):
         reports.run_sql(spark, "SELEC 1")
 
 
-def test_export_keeps_at_most_a_thousand_rows(spark, tmp_path):
-    export_result(spark.range(3000), str(tmp_path / "out"))
-    assert read_csv(spark, str(tmp_path / "out"), "id long").count() == 1000
+def test_export_keeps_every_row_or_a_limit(spark, tmp_path):
+    export_result(spark.range(3000), str(tmp_path / "all"))
+    export_result(spark.range(3000), str(tmp_path / "page"), limit=1000)
+    assert read_csv(spark, str(tmp_path / "all"), "id long").count() == 3000
+    assert read_csv(spark, str(tmp_path / "page"), "id long").count() == 1000
+
+
+def test_csv_keeps_spaces_around_text(spark, tmp_path):
+    write_csv(spark.createDataFrame([(" lead",), ("trail ",)], "t string"), str(tmp_path / "t"))
+    assert {r.t for r in read_csv(spark, str(tmp_path / "t"), "t string").collect()} == {" lead", "trail "}
+
+
+def test_long_ids_are_not_cut(spark, tmp_path):
+    ids = [100000001, 100000009, 10000000, 10**12 + 1, 10**12 + 2, 7]
+    events = spark.createDataFrame([(i, None, i, "e", 1.0, '{"k": 1}') for i in ids],
+                                   "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = transactions(spark, str(tmp_path))
+    assert got.select("customer_id").distinct().count() == got.select("transaction_id").distinct().count() == 6
+    assert "CUST_00000007" in {r.customer_id for r in got.collect()}
