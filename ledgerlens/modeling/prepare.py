@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.ml import Transformer
 from pyspark.ml.base import Estimator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    FeatureHasher,
+    Imputer,
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexer,
+    VectorAssembler,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +23,9 @@ WEIGHT = "class_weight"
 FEATURES = "features"
 FILLED = "_filled"
 
+# Slots that hashed text is spread over.
+HASH_SLOTS = 4096
+
 
 def hash_split(
     df: DataFrame, test_percent: int = 20, id_col: str = ID, salt: str = ""
@@ -28,13 +38,14 @@ def hash_split(
 
 
 def feature_roles(df: DataFrame, features: list[str]) -> tuple[list[str], list[str]]:
-    """(categorical, numeric) among the chosen features; any other type is refused by name."""
+    """(categorical, numeric) among the chosen features, yes or no being a number;
+    any other type is refused by name."""
     roles: dict[str, list[str]] = {"categorical": [], "numeric": []}
     for name in features:
         dtype = df.schema[name].dataType
         if isinstance(dtype, T.StringType):
             roles["categorical"].append(name)
-        elif isinstance(dtype, T.NumericType):
+        elif isinstance(dtype, (T.NumericType, T.BooleanType)):
             roles["numeric"].append(name)
         else:
             raise ValueError(f"feature {name} has type {dtype.simpleString()}; use text or numbers")
@@ -67,20 +78,36 @@ def class_weights(
     return df.withColumn(weight, balanced_weight(label, sizes["ones"], sizes["zeros"]))
 
 
-def feature_stages(categorical: list[str], numeric: list[str]) -> list[Estimator | Transformer]:
-    """Index and one-hot encode text, fill numeric gaps with the median, assemble one vector.
+def feature_stages(
+    categorical: list[str], numeric: list[str], booleans: list[str] | None = None, encoding: str = "one_hot"
+) -> list[Estimator | Transformer]:
+    """Encode text, fill numeric gaps with the median, assemble one vector.
+
+    The multi-column estimators fit all columns in one pass each. Encoded text comes first in the vector,
+    then numbers. `booleans` names those numeric columns that hold yes or no.
 
-    The multi-column estimators fit all columns in one pass each. Unknown or missing text has a slot of
-    its own; encoded text comes first in the vector, then numbers.
+    `encoding="one_hot"` gives each value of a text column a slot, and unknown or missing text another;
+    its dictionary passes through the driver. `"hashed"` spreads all text over HASH_SLOTS shared slots
+    without a dictionary, whatever the number of values; missing text is no value there.
     """
+    if encoding not in ("one_hot", "hashed"):
+        raise ValueError(f"encoding must be 'one_hot' or 'hashed', not {encoding!r}")
     stages: list[Estimator | Transformer] = []
     encoded = [f"{c}_encoded" for c in categorical]
     filled = [f"{c}{FILLED}" for c in numeric]
-    if categorical:
+    if categorical and encoding == "hashed":
+        encoded = ["text_hashed"]
+        stages.append(FeatureHasher(inputCols=categorical, outputCol=encoded[0], numFeatures=HASH_SLOTS))
+    elif categorical:
         indexed = [f"{c}_index" for c in categorical]
         stages.append(StringIndexer(inputCols=categorical, outputCols=indexed, handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"))
+    yes_no = set(booleans or ()) & set(numeric)
+    if yes_no:
+        casts = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `{c}_number`" for c in numeric if c in yes_no)
+        stages.append(SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"))
     if numeric:
-        stages.append(Imputer(inputCols=numeric, outputCols=filled, strategy="median"))
+        inputs = [f"{c}_number" if c in yes_no else c for c in numeric]
+        stages.append(Imputer(inputCols=inputs, outputCols=filled, strategy="median"))
     stages.append(VectorAssembler(inputCols=encoded + filled, outputCol=FEATURES, handleInvalid="error"))
     return stages

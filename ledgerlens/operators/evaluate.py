@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,38 +120,22 @@ def sample_predictions(
     return ordered.limit(n).select(label, PREDICTION, "probability", *features[:3])
 
 
-# Distinct scores that a single task may put in order.
-ONE_TASK_SCORES = 1_000_000
+# Distinct scores in one range, which a single task puts in order.
+RANGE_SCORES = 250_000
 
 
-def _score_ranges(groups: DataFrame, n: int, one_task: int) -> list[float]:
-    """Bounds that cut `n` distinct scores into ranges a task can hold, from a quantile sketch."""
-    ranges = min(10_000, 4 * math.ceil(n / one_task))
-    inner = groups.approxQuantile("threshold", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
-    inf = float("inf")
-    return [-inf, *sorted(set(inner) - {-inf, inf}), inf]
+def _ranged(groups: DataFrame, n: int, range_scores: int) -> DataFrame:
+    """The `n` distinct scores cut into ranges a task can hold, at least two, range 0 the lowest.
 
-
-def _running(groups: DataFrame) -> DataFrame:
-    """Running and overall totals in one task, for few distinct scores."""
-    order = Window.orderBy(F.desc("threshold"))
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return groups.withColumns(
-        {
-            "tp_at": F.sum("pos").over(upto),
-            "fp_at": F.sum("neg").over(upto),
-            "pos_all": F.sum("pos").over(whole),
-            "neg_all": F.sum("neg").over(whole),
-        }
-    )
+    Bounds come from a sample, so the rows are written out with the range they fell in.
+    """
+    ranges = max(2, math.ceil(n / range_scores))
+    return durable(groups.repartitionByRange(ranges, "threshold").withColumn("range", F.spark_partition_id()))
 
 
-def _running_by_range(groups: DataFrame, bounds: list[float]) -> DataFrame:
-    """The same without a global order: each range of scores sums on its own, starting from the totals
-    of the ranges above it, which are a table with as many rows as there are ranges."""
-    cut = Bucketizer(splits=bounds, inputCol="threshold", outputCol="range", handleInvalid="error")
-    groups = cut.transform(groups)
+def _running(groups: DataFrame) -> DataFrame:
+    """Running and overall totals without a global order: each range of scores sums on its own, starting
+    from the totals of the ranges above it, which are a table with as many rows as there are ranges."""
     order = Window.orderBy(F.desc("range"))
     above = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -174,7 +157,7 @@ def _running_by_range(groups: DataFrame, bounds: list[float]) -> DataFrame:
     )
     return (
         groups.withColumns({"tp_here": F.sum("pos").over(upto), "fp_here": F.sum("neg").over(upto)})
-        .join(F.broadcast(starts), "range")
+        .join(starts, "range")
         .withColumns(
             {"tp_at": F.col("tp_above") + F.col("tp_here"), "fp_at": F.col("fp_above") + F.col("fp_here")}
         )
@@ -186,13 +169,12 @@ def _cumulated(
     label: str,
     score: str | Column,
     extra: dict[str, Column] | None = None,
-    one_task: int = ONE_TASK_SCORES,
+    range_scores: int = RANGE_SCORES,
 ) -> DataFrame:
     """Distinct scores with `tp_at`, `fp_at` (label counts at this score or above) and class totals.
 
     The table is read once: its counts per distinct score, combined within tasks before the shuffle,
-    are written out, and the later steps read only them. Their number, then known, decides whether one
-    task may order them.
+    are written out, and the later steps read only them. Their number says how many ranges there are.
     """
     value = (F.col(score) if isinstance(score, str) else score).cast("double")
     groups = durable(
@@ -208,9 +190,7 @@ def _cumulated(
     ).first()
     if facts["unusable"]:
         raise ValueError("scores must be numbers, without nulls")
-    if facts["n"] <= one_task:
-        return _running(groups)
-    return _running_by_range(groups, _score_ranges(groups, facts["n"], one_task))
+    return _running(_ranged(groups, facts["n"], range_scores))
 
 
 def roc_curve(df: DataFrame, label: str = LABEL, score: str | Column = "score", origin: bool = True) -> DataFrame:

@@ -10,6 +10,12 @@ from pyspark.sql import types as T
 BINS = 20
 VALUE_COUNT_LIMIT = 10
 
+# Times inside nested values, to the microsecond.
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def _columns_of(df: DataFrame, kind: type[T.DataType]) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, kind)]
@@ -47,6 +53,10 @@ def _as_key(df: DataFrame, column: str) -> tuple[str, Column]:
         return "whole", F.col(column).cast("bigint")
     if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
         return "fraction", F.col(column).cast("double")
+    if isinstance(dtype, T.TimestampType):  # as text, the hour that clocks repeat would merge
+        return "whole", F.unix_micros(column)
+    if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
+        return "text", F.when(F.col(column).isNotNull(), F.to_json(F.struct(F.col(column)), JSON_TIMES))
     return "text", F.hex(column) if isinstance(dtype, T.BinaryType) else F.col(column).cast("string")
 
 
@@ -176,29 +186,48 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, approx: bool
 
 
 def _usable(value: Column) -> Column:
-    return value.isNotNull() & ~F.isnan(value)
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
 
 
-def _bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """Equal-width bin of `value`; the last bin is closed, a constant column sits in a unit-wide range."""
+def _span(low: Column, high: Column, bins: int) -> tuple[Column, Column, Column]:
+    """(start, end, bin width); a constant column sits in the middle of a unit-wide range."""
     flat = low == high
-    start = F.when(flat, low - 0.5).otherwise(low)
-    width = F.when(flat, F.lit(1.0)).otherwise(high - low) / bins
+    start, end = F.when(flat, low - 0.5).otherwise(low), F.when(flat, high + 0.5).otherwise(high)
+    return start, end, (end - start) / bins
+
+
+def _bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
+    """Equal-width bin of `value`; the last bin is closed."""
+    start, _, width = _span(low, high, bins)
     return F.least(F.floor((value - start) / width), F.lit(bins - 1)).cast("int")
 
 
+def _edges(number: Column, low: Column, high: Column, bins: int) -> tuple[Column, Column]:
+    """Lower and upper edge of bin `number`."""
+    start, end, width = _span(low, high, bins)
+    return start + number * width, F.when(number == bins - 1, end).otherwise(start + (number + 1) * width)
+
+
 def histogram(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
-    """Rows per equal-width bin between the smallest and the largest value; empty bins are left out.
+    """bin, low, high, n of every equal-width bin between the smallest and the largest value, also of
+    empty bins. Nulls, NaN and infinities are left out; without other values there are no rows.
 
     Two passes over one column: the range is an uncorrelated scalar subquery, so the second pass sees
-    it as a constant and no join is planned.
+    it as a constant. The bins are as many rows as asked for.
     """
-    value = F.col("value")
+    value, number = F.col("value"), F.col("bin")
     values = df.select(F.col(column).cast("double").alias("value")).where(_usable(value))
     span = values.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    found = values.groupBy(_bin_of(value, span["low"], span["high"], bins).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    low, high = _edges(number, span["low"], span["high"], bins)
     return (
-        values.groupBy(_bin_of(value, span["low"], span["high"], bins).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        df.sparkSession.range(bins)
+        .select(F.col("id").cast("int").alias("bin"))
+        .join(found, "bin", "left")
+        .select("bin", low.alias("low"), high.alias("high"), F.coalesce("n", F.lit(0)).alias("n"))
+        .where(F.col("low").isNotNull())
         .orderBy("bin")
     )
 
@@ -213,31 +242,49 @@ def profile_distribution(
 ) -> DataFrame:
     """A histogram when `column` has more than `threshold` different values, else its value counts.
 
-    One result shape serves both: `kind`, `bin` (histogram), `value` (value counts), `n`. Counting the
-    rows of each value is the only shuffle; the choice, the range and the bins all come from it, and
-    the choice is made while the query runs, not by an action beforehand.
+    One result shape serves both: `kind`, `bin`, `low`, `high` (histogram, empty bins included), `value`
+    (value counts, in the column's own type), `n`. Counting the rows of each value is the only shuffle of
+    values; the choice, the range and the bins all come from it, and the choice is made while the query
+    runs, not by an action beforehand.
     """
     if column not in numeric_columns(df):
         raise ValueError(f"{column} is not numeric; use value_counts")
-    value = F.col("value")
-    counts = (
-        df.select(F.col(column).cast("double").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = df.select(F.col(column).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    number = F.col("value").cast("double")
     facts = counts.agg(
         F.struct(
             F.count(F.lit(1)).alias("distinct"),
-            F.sum("n").alias("rows"),
-            F.min(F.when(_usable(value), value)).alias("low"),
-            F.max(F.when(_usable(value), value)).alias("high"),
+            F.sum("n").alias("rows"),  # so that both uses of the counts need the same columns
+            F.min(F.when(_usable(number), number)).alias("low"),
+            F.max(F.when(_usable(number), number)).alias("high"),
         )
     ).scalar()
     many = facts["distinct"] > threshold
     binned = counts.select(
-        F.when(many, F.lit("histogram")).otherwise(F.lit("value_counts")).alias("kind"),
-        F.when(many, _bin_of(value, facts["low"], facts["high"], bins)).alias("bin"),
-        F.when(~many, value).alias("value"),
-        F.when(~many | _usable(value), F.col("n")).alias("n"),
+        F.when(many & _usable(number), _bin_of(number, facts["low"], facts["high"], bins)).alias("bin"),
+        F.when(~many, F.col("value")).alias("value"),
+        F.when(~many | _usable(number), F.col("n")).alias("n"),
+    )
+    no_value = F.lit(None).cast(df.schema[column].dataType)
+    empty = df.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"),
+        no_value.alias("value"),
+        F.when(many & facts["low"].isNotNull(), F.lit(0)).cast("bigint").alias("n"),
+    )
+    low, high = _edges(F.col("bin"), facts["low"], facts["high"], bins)
+    # What a result leaves out is dropped by its empty sum: a filter on the values would be pushed into
+    # the scan here but not in the subquery, and the two could no longer share one shuffle.
+    return (
+        binned.union(empty)
+        .groupBy("bin", "value")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n").isNotNull())
+        .select(
+            F.when(many, F.lit("histogram")).otherwise(F.lit("value_counts")).alias("kind"),
+            "bin",
+            low.alias("low"),
+            high.alias("high"),
+            "value",
+            "n",
+        )
     )
-    # What a histogram leaves out is dropped by its empty sum: a filter on the values would be pushed
-    # into the scan here but not in the subquery, and the two could no longer share one shuffle.
-    return binned.groupBy("kind", "bin", "value").agg(F.sum("n").alias("n")).where(F.col("n").isNotNull())

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +88,25 @@ def parquet_scan(spark, sf_dir):
     )
 
 
+@query("S1_parquet_whole")
+def parquet_whole(spark, sf_dir):
+    return read_parquet(spark, f"{sf_dir}/events.parquet")
+
+
+# Fixed value: text that flat files easily lose, valid in both engines.
+AWKWARD = """CASE event_id % 8 WHEN 0 THEN ' lead' WHEN 1 THEN 'trail ' WHEN 2 THEN ''
+    WHEN 3 THEN concat('two', chr(10), 'lines') WHEN 4 THEN 'say "hi", "you"'
+    WHEN 5 THEN concat('back', chr(92), 'slash', chr(92)) WHEN 6 THEN concat('a,b', chr(92), '"') END"""
+
+
+@query("S1_csv_awkward_text")
+def csv_awkward_text(spark, sf_dir):
+    path = scratch_path(spark, "text-csv")
+    rows = read_parquet(spark, f"{sf_dir}/events.parquet").selectExpr("event_id", f"{AWKWARD} AS note", "ts")
+    write_csv(rows, path)
+    return read_csv(spark, path, rows.schema, multiLine=True, mode="FAILFAST")
+
+
 @query("S2_registered_view")
 def registered_view(spark, sf_dir):
     register(transactions(spark, sf_dir), "transactions")
@@ -110,11 +129,18 @@ def export_query_result(spark, sf_dir):
 
 @query("S5_export_predictions")
 def export_all_predictions(spark, sf_dir):
+    """A scored table with vectors, exported with all its columns and read back with their types."""
     path = scratch_path(spark, "predictions-csv")
-    train, test = _split(spark, sf_dir)
-    scored = modeling.score(_fit(train, "Logistic Regression"), test)
-    export_predictions(scored.drop(FEATURES), path)
-    return spark.read.option("header", True).csv(path)
+    fraud = F.when(F.col("amount") > HIGH, 0.75).otherwise(0.25)
+    scored = transactions(spark, sf_dir).withColumns(
+        {
+            FEATURES: array_to_vector(F.array(F.col("foreign_country") * 1.0, F.hour("timestamp") * 1.0)),
+            "probability": array_to_vector(F.array(1 - fraud, fraud)),
+            "prediction": (F.col("amount") > HIGH).cast("double"),
+        }
+    )
+    export_predictions(scored, path)
+    return read_csv(spark, path, flatten_predictions(scored).schema)
 
 
 # ---- cleaning
@@ -447,6 +473,67 @@ def feature_importance(spark, sf_dir):
     return modeling.feature_importance(_fit(train, "Random Forest"), train)
 
 
+# Settings under which each model has a closed form for one feature of two values: its probability is
+# the weighted share of class 1 among the training rows with that value.
+EXACT: dict[str, dict] = {
+    "Logistic Regression": {"regParam": 0.0, "elasticNetParam": 0.0, "maxIter": 100, "tol": 1e-10},
+    "Decision Tree": {"maxDepth": 1},
+    "Random Forest": {
+        "maxDepth": 1,
+        "numTrees": 3,
+        "subsamplingRate": 1.0,
+        "bootstrap": False,
+        "featureSubsetStrategy": "all",
+    },
+}
+
+
+def _exact_fit(train: DataFrame, model: str, *columns: str):
+    return modeling.train_model(train, model, [], list(columns), params=EXACT[model])
+
+
+def _exact_scores(spark, sf_dir, model: str, decimals: int) -> DataFrame:
+    train, test = _split(spark, sf_dir)
+    scored = modeling.score(_exact_fit(train, model, "multiple_quick_trans"), test)
+    return flatten_predictions(scored).select(
+        "transaction_id",
+        "is_fraud",
+        F.col(FEATURES).alias("slots"),
+        "prediction",
+        F.round("p_fraud", decimals).alias("p_fraud"),
+    )
+
+
+@query("M8_logistic_regression_one_feature")
+def logistic_regression_one_feature(spark, sf_dir):
+    return _exact_scores(spark, sf_dir, "Logistic Regression", 4)
+
+
+@query("M9_decision_tree_one_feature")
+def decision_tree_one_feature(spark, sf_dir):
+    return _exact_scores(spark, sf_dir, "Decision Tree", DECIMALS)
+
+
+@query("M10_E2_random_forest_one_feature")
+def random_forest_one_feature(spark, sf_dir):
+    return _exact_scores(spark, sf_dir, "Random Forest", DECIMALS)
+
+
+@query("M11_M12_train_evaluate_one_feature")
+def train_evaluate_one_feature(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    model = _exact_fit(train, "Logistic Regression", "multiple_quick_trans")
+    return _shown(modeling.evaluate_model(model, test)[0], "auc", "pr_auc")
+
+
+@query("M13_feature_importance_two_features")
+def feature_importance_two_features(spark, sf_dir):
+    """One split over two features: all importance goes to the one that splits the classes better."""
+    train, _ = _split(spark, sf_dir)
+    model = _exact_fit(train, "Decision Tree", "multiple_quick_trans", "foreign_country")
+    return modeling.feature_importance(model, train)
+
+
 # ---- evaluation
 
 

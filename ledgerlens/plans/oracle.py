@@ -1,12 +1,12 @@
 """SQL with the same result as each registered query, over the given tables.
 
-Model fits and exports have no SQL form and are left to the tests.
+Fits of several features have no SQL form and are left to the tests; those of one have.
 """
 
 from __future__ import annotations
 
 from ledgerlens.operators.evaluate import FINE
-from ledgerlens.plans.catalog import DECIMALS, FREE_SQL, HIGH
+from ledgerlens.plans.catalog import AWKWARD, DECIMALS, FREE_SQL, HIGH
 from ledgerlens.plans.inputs import PROFILES_SQL, TRANSACTIONS_SQL
 from ledgerlens.schema import TRANSACTION_SCHEMA
 
@@ -44,7 +44,10 @@ def _histogram(column: str) -> str:
     return (
         f"b AS (SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM t), "
         f"h AS (SELECT CAST(LEAST(FLOOR(({column} - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin, "
-        f"COUNT(*) AS n FROM t, b WHERE {column} IS NOT NULL GROUP BY 1)"
+        f"COUNT(*) AS n FROM t, b WHERE {column} IS NOT NULL GROUP BY 1), "
+        "e AS (SELECT CAST(i AS INTEGER) AS bin, lo + i * ((hi - lo) / 20) AS low, "
+        "CASE WHEN i = 19 THEN hi ELSE lo + (i + 1) * ((hi - lo) / 20) END AS high, COALESCE(n, 0) AS n "
+        "FROM b, range(20) AS r(i) LEFT JOIN h ON h.bin = i)"
     )
 
 
@@ -126,13 +129,42 @@ DEVICE_JOIN = "t JOIN d ON d.device_type IS NOT DISTINCT FROM t.device_type"
 MERCHANT_JOIN = "JOIN m ON m.merchant_category IS NOT DISTINCT FROM t.merchant_category"
 DEVICE_SLOTS = ", ".join(f"CASE WHEN d.idx = {i} THEN 1.0 ELSE 0.0 END::DOUBLE AS slot_{i}" for i in range(3))
 
+TRAINED = f"{_bucket(100)} >= 20"
+TWO = ["multiple_quick_trans", "foreign_country"]
+
+# A fit of one feature with two values: the share of class 1 per value, classes weighing the same in total.
+STUMP = [
+    "g1 AS (SELECT multiple_quick_trans AS v, SUM(is_fraud) AS n1, COUNT(*) - SUM(is_fraud) AS n0 "
+    f"FROM t WHERE {TRAINED} GROUP BY 1)",
+    "q AS (SELECT v, n1 * all0 / (n1 * all0 + n0 * all1) AS score FROM "
+    "(SELECT *, SUM(n1) OVER () AS all1, SUM(n0) OVER () AS all0 FROM g1))",
+    "s AS (SELECT transaction_id, is_fraud, v, score, CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE "
+    f"AS prediction FROM t JOIN q ON v = multiple_quick_trans WHERE NOT ({TRAINED}))",
+]
+
+
+def _one_feature(decimals: int) -> str:
+    return (
+        "SELECT transaction_id, is_fraud, concat('[', CAST(v AS DOUBLE), ']') AS slots, prediction, "
+        f"ROUND(score, {decimals}) AS p_fraud FROM s"
+    )
+
+
 ORACLE: dict[str, str] = {
     "S1_csv_round_trip": _tx("SELECT * FROM t"),
     "S1_csv_inferred": _tx("SELECT * FROM p"),
     "S1_parquet_scan": f"SELECT event_id, value FROM events WHERE value > {HIGH}",
+    "S1_parquet_whole": "SELECT * FROM events",
+    "S1_csv_awkward_text": f"SELECT event_id, {AWKWARD} AS note, ts FROM events",
     "S2_registered_view": _tx("SELECT currency, COUNT(*) AS n FROM t GROUP BY currency"),
     "S3_preview": _tx("SELECT * FROM t ORDER BY transaction_id LIMIT 10"),
     "S4_export_result": _tx(_rate_by("customer_id", tail="ORDER BY fraud_percent DESC, customer_id")),
+    "S5_export_predictions": _tx(
+        "SELECT *, concat('[', CAST(foreign_country AS DOUBLE), ',', CAST(hour(timestamp) AS DOUBLE), ']') "
+        f"AS features, CASE WHEN amount > {HIGH} THEN '[0.25,0.75]' ELSE '[0.75,0.25]' END AS probability, "
+        f"CAST(CASE WHEN amount > {HIGH} THEN 1 ELSE 0 END AS DOUBLE) AS prediction, "
+        f"CAST(CASE WHEN amount > {HIGH} THEN 0.75 ELSE 0.25 END AS DOUBLE) AS p_fraud FROM t"
+    ),
     "C1_fill_missing": _tx("SELECT transaction_id, COALESCE(device_type, 'unknown') AS device_type FROM t"),
     "C2_parse_time": _tx(
         "SELECT transaction_id, TRY_CAST(CASE WHEN is_fraud = 1 THEN concat('at ', customer_id) "
@@ -161,14 +193,15 @@ ORACLE: dict[str, str] = {
     ),
     "P6_missing": _tx(_per_column(["amount", "device_type", "time_since_last"], "'{c}' AS \"column\", " + MISSING)),
     "P8_column_stats": _tx(_per_column(["amount", "time_since_last"], "'{c}' AS \"column\", " + _moments())),
-    "P9_histogram": _tx("SELECT bin, n FROM h", _histogram("amount")),
+    "P9_histogram": _tx("SELECT bin, low, high, n FROM e", _histogram("amount")),
     "P10_value_counts": _tx("SELECT device_type, COUNT(*) AS count FROM t GROUP BY device_type"),
     "P11_distribution_many_values": _tx(
-        "SELECT 'histogram' AS kind, bin, CAST(NULL AS DOUBLE) AS value, n FROM h", _histogram("time_since_last")
+        "SELECT 'histogram' AS kind, bin, low, high, CAST(NULL AS DOUBLE) AS value, n FROM e",
+        _histogram("time_since_last"),
     ),
     "P11_distribution_few_values": _tx(
-        "SELECT 'value_counts' AS kind, CAST(NULL AS INTEGER) AS bin, "
-        "CAST(foreign_country AS DOUBLE) AS value, COUNT(*) AS n FROM t GROUP BY foreign_country"
+        "SELECT 'value_counts' AS kind, CAST(NULL AS INTEGER) AS bin, CAST(NULL AS DOUBLE) AS low, "
+        "CAST(NULL AS DOUBLE) AS high, foreign_country AS value, COUNT(*) AS n FROM t GROUP BY foreign_country"
     ),
     "P12_column_profile": _tx(
         _per_column(
@@ -245,6 +278,19 @@ ORACLE: dict[str, str] = {
         f"FROM {DEVICE_JOIN}",
         DEVICE,
     ),
+    "M8_logistic_regression_one_feature": _tx(_one_feature(4), *STUMP),
+    "M9_decision_tree_one_feature": _tx(_one_feature(DECIMALS), *STUMP),
+    "M10_E2_random_forest_one_feature": _tx(_one_feature(DECIMALS), *STUMP),
+    "M11_M12_train_evaluate_one_feature": _tx(
+        f"SELECT auc, pr_auc, {RATES}, tp, fp, fn, tn FROM c, (SELECT {AUC}, {PR_AUC} FROM r)", *STUMP, CELLS, CURVE
+    ),
+    "M13_feature_importance_two_features": _tx(
+        "SELECT f AS feature, f AS source, CASE WHEN left_over = MIN(left_over) OVER () THEN 1.0 ELSE 0.0 END::DOUBLE "
+        "AS importance FROM (SELECT f, SUM(2 * a * b / (a + b)) AS left_over FROM (SELECT f, "
+        "SUM(is_fraud) * z AS a, (COUNT(*) - SUM(is_fraud)) * o AS b FROM u, w GROUP BY f, v, z, o) GROUP BY f)",
+        "u AS (" + " UNION ALL ".join(f"SELECT '{f}' AS f, {f} AS v, is_fraud FROM t WHERE {TRAINED}" for f in TWO) + ")",
+        f"w AS (SELECT SUM(is_fraud) AS o, COUNT(*) - SUM(is_fraud) AS z FROM t WHERE {TRAINED})",
+    ),
     "E1_hash_sample": _tx(f"SELECT * FROM s WHERE {_bucket(FINE, 'sample')} < {FINE // 10}", SCORED),
     "E3_area_under_roc": _tx(f"SELECT {AUC} FROM r", SCORED, CURVE),
     "E4_area_under_pr": _tx(f"SELECT {PR_AUC} FROM r", SCORED, CURVE),

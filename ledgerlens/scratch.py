@@ -46,8 +46,3 @@ def durable(df: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast when the counted `rows` allow it; otherwise Spark is left to shuffle."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's own size estimate, free of charge; it errs on the large side after joins."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

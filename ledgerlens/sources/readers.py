@@ -7,6 +7,10 @@ from pyspark.sql import types as T
 
 from ledgerlens.schema import TRANSACTION_SCHEMA
 
+# Doubled quotes, and null only for a cell with nothing in it: the marker, which stands for such a cell
+# while parsing, is no text that a file holds.
+CSV_TEXT = {"escape": '"', "nullValue": "\u0000null", "emptyValue": ""}
+
 
 def read_csv(
     spark: SparkSession,
@@ -18,9 +22,11 @@ def read_csv(
     """Scan headed CSV files; `path` may be a file, a folder, a glob or a list of them.
 
     The declared schema spares the extra pass over the data that `infer=True` costs, and lets Spark
-    skip unwanted fields while parsing. Files stay splittable (no multi-line records).
+    skip unwanted fields while parsing. Files stay splittable unless `multiLine=True` allows line breaks
+    in quoted text. Cells with nothing in them are null, `""` is empty text. `mode="FAILFAST"` makes a
+    broken row an error; it becomes nulls otherwise. `options` are Spark's, and override these.
     """
-    reader = spark.read.option("header", True).options(**options)
+    reader = spark.read.options(**{"header": True, **CSV_TEXT, **options})
     if infer:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).option("enforceSchema", False).csv(path)

@@ -13,16 +13,19 @@ CSV_TIME_FORMATS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
 
-# Spaces around text are part of it.
-CSV_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# Spaces around text are part of it, quotes are doubled, empty text is quoted and null is not.
+CSV_TEXT = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
 
 # Fixed value: rows a query result may have when exported from the SQL page.
 RESULT_CAP = 1000
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write headed CSV without losing sub-millisecond time."""
-    df.write.mode(mode).option("header", True).options(**CSV_TIME_FORMATS, **CSV_SPACES).csv(path)
+    """Write headed CSV without losing sub-millisecond time, spaces or empty text.
+
+    Text with line breaks is quoted; `read_csv(..., multiLine=True)` reads it back.
+    """
+    df.write.mode(mode).option("header", True).options(**CSV_TIME_FORMATS, **CSV_TEXT).csv(path)
 
 
 def export_result(df: DataFrame, path: str, limit: int | None = None, mode: str = "errorifexists") -> None:

@@ -54,24 +54,47 @@ def test_rows_equal_only_after_filling_collapse(spark):
     assert clean.clean(df).count() == 1
 
 
-@pytest.mark.parametrize("screen,small", [(False, 10), (True, 0), (True, 10), (True, 10**6)])
-def test_every_way_of_dropping_duplicates_agrees(spark, screen, small, monkeypatch):
-    monkeypatch.setattr(clean, "BROADCAST_ROWS", small)
+@pytest.mark.parametrize("screen,threshold", [(False, "10m"), (True, "10m"), (True, "-1")])
+def test_every_way_of_dropping_duplicates_agrees(spark, screen, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     rows = [(i, None if i % 5 else "x", float(i)) for i in range(300)]
     rows += [(1, None, 1.0)] * 150 + rows[40:60] + [(7, None, float("nan"))] * 2 + [(8, None, 0.0), (8, None, -0.0)]
     df = spark.createDataFrame(rows, "a int, b string, c double").repartition(5)
     got = clean.drop_exact_duplicates(df, screen=screen)
     assert got.columns == df.columns
     want = [str(r).replace("-0.0", "0.0") for r in df.dropDuplicates().collect()]
-    assert sorted(str(r).replace("-0.0", "0.0") for r in got.collect()) == sorted(want)
+    found = [str(r).replace("-0.0", "0.0") for r in got.collect()]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(found) == sorted(want)
 
 
-@pytest.mark.parametrize("limit,shuffled", [(10**9, True), (1, False)])
-def test_size_decides_unless_told(spark, monkeypatch, limit, shuffled):
-    monkeypatch.setattr(clean, "SCREEN_BYTES", limit)
+def test_screening_is_the_callers_choice_alone(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = clean.drop_exact_duplicates(df)._jdf.queryExecution().executedPlan().toString()
-    assert ("HashAggregate" in plan) == shuffled
+    assert "HashAggregate" in plan
+
+
+def test_parsed_times_do_not_depend_on_the_session(spark):
+    df = spark.createDataFrame([("2024-03-10 02:30:00",), ("late",), (None,)], "timestamp string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = clean.parse_time(df)
+        hours = [r[0] for r in got.select(F.hour("timestamp")).collect()]
+        zoned = clean.parse_time(df, zoned=True)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert hours == [2, None, None] and got.dtypes == [("timestamp", "timestamp_ntz")]
+    assert zoned.dtypes == [("timestamp", "timestamp")]
+
+
+def test_csv_keeps_awkward_text(spark, tmp_path):
+    texts = [" lead", "trail ", "", None, "two\nlines", "cr\r\nlf", 'say "hi", you', "back\\", 'a,\\"', '"', "\\N", "null"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string").coalesce(1)
+    write_csv(df, str(tmp_path / "x"))
+    got = read_csv(spark, str(tmp_path / "x"), df.schema, multiLine=True, mode="FAILFAST")
+    assert {r.i: r.s for r in got.collect()} == dict(enumerate(texts))
 
 
 def test_a_table_without_copies_is_not_shuffled(spark):

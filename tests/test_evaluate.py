@@ -44,10 +44,10 @@ def _areas(df, **options):
     return c.agg(*[a.alias(n) for n, a in evaluate._areas().items()]).first()
 
 
-@pytest.mark.parametrize("one_task", [10**6, 100])
-def test_areas_agree_with_brute_force_in_one_or_many_ranges(scored, one_task):
+@pytest.mark.parametrize("range_scores", [10**6, 100])
+def test_areas_agree_with_brute_force_in_one_or_many_ranges(scored, range_scores):
     _, auc, pr = _brute(scored.collect())
-    got = _areas(scored, one_task=one_task)
+    got = _areas(scored, range_scores=range_scores)
     assert math.isclose(got.auc, auc, rel_tol=1e-12) and math.isclose(got.pr_auc, pr, rel_tol=1e-12)
 
 
@@ -59,9 +59,9 @@ def test_areas_agree_with_the_spark_evaluator(scored):
         assert math.isclose(df(scored).first()[0], judge.evaluate(scored), rel_tol=1e-9)
 
 
-@pytest.mark.parametrize("one_task", [10**6, 100])
-def test_curve_agrees_with_brute_force(scored, one_task, monkeypatch):
-    monkeypatch.setattr(evaluate._cumulated, "__defaults__", (None, one_task))
+@pytest.mark.parametrize("range_scores", [10**6, 100])
+def test_curve_agrees_with_brute_force(scored, range_scores, monkeypatch):
+    monkeypatch.setattr(evaluate._cumulated, "__defaults__", (None, range_scores))
     points, _, _ = _brute(scored.collect())
     got = evaluate.roc_curve(scored).orderBy(F.desc("threshold")).collect()
     assert [(r.tpr, r.fpr) for r in got] == points
@@ -72,7 +72,7 @@ def test_curve_agrees_with_brute_force(scored, one_task, monkeypatch):
 def test_one_score_for_a_third_of_the_rows(scored):
     hot = scored.withColumn("score", F.when(F.hash("transaction_id") % 3 == 0, 0.5).otherwise(F.col("score")))
     _, auc, pr = _brute(hot.collect())
-    got = _areas(hot, one_task=50)
+    got = _areas(hot, range_scores=50)
     assert math.isclose(got.auc, auc, rel_tol=1e-12) and math.isclose(got.pr_auc, pr, rel_tol=1e-12)
 
 

@@ -171,3 +171,14 @@ def test_curve_of_model_scores(parts, logistic):
     flat = flatten_predictions(modeling.score(logistic, parts[1]))
     points = evaluate.roc_curve(flat, score="p_fraud")
     assert points.count() > 100
+
+
+def test_yes_or_no_is_a_number_and_text_may_be_hashed(spark):
+    rows = [(i, bool(i % 3 == 0), f"t{i}", int(i % 3 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "transaction_id int, flag boolean, name string, is_fraud int")
+    text, numbers = modeling.feature_roles(df, ["flag", "name"])
+    assert (text, numbers) == (["name"], ["flag"])
+    model = modeling.train_model(df, "Logistic Regression", text, numbers, encoding="hashed")
+    assert modeling.score(model, df).where("prediction = is_fraud").count() == 60
+    with pytest.raises(ValueError, match="encoding"):
+        modeling.train_model(df, "Logistic Regression", text, numbers, encoding="other")

@@ -98,16 +98,42 @@ def test_histogram_agrees_with_numpy(spark):
 
     values = [float((i * 37) % 101) ** 1.5 for i in range(500)]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    want = {i: int(n) for i, n in enumerate(np.histogram(values, 20)[0]) if n}
-    assert {r.bin: r.n for r in profile.histogram(df, "x").collect()} == want
+    want = {i: int(n) for i, n in enumerate(np.histogram(values, 20)[0])}
+    rows = profile.histogram(df, "x").collect()
+    assert {r.bin: r.n for r in rows} == want
+    assert np.allclose([r.low for r in rows] + [rows[-1].high], np.histogram(values, 20)[1])
 
 
 def test_histogram_of_a_constant_and_of_nothing(spark):
     df = spark.createDataFrame([(3.0,), (3.0,), (None,), (float("nan"),)], "x double")
-    assert [tuple(r) for r in profile.histogram(df, "x").collect()] == [(10, 2)]
+    rows = profile.histogram(df, "x").collect()
+    assert [r.bin for r in rows if r.n] == [10] and len(rows) == 20 and rows[10].n == 2
+    assert (rows[0].low, rows[-1].high) == (2.5, 3.5)
     assert profile.histogram(df.limit(0), "x").count() == 0
 
 
+def test_infinities_are_in_no_bin(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(40)] + [(float("inf"),), (float("-inf"),)], "x double")
+    for rows in (profile.histogram(df, "x").collect(), profile.profile_distribution(df, "x").collect()):
+        assert len(rows) == 20 and {r.n for r in rows} == {2}
+
+
+def test_large_whole_numbers_and_nested_values_stay_apart(spark):
+    big = spark.createDataFrame([(2**53,), (2**53 + 1,)], "x bigint")
+    assert {(r.value, r.n) for r in profile.profile_distribution(big, "x").collect()} == {(2**53, 1), (2**53 + 1, 1)}
+    nested = spark.sql(
+        "SELECT * FROM VALUES (array('a, b'), timestamp'2024-11-03 05:30:00Z'), "
+        "(array('a', 'b'), timestamp'2024-11-03 06:30:00Z'), (NULL, NULL) AS t(a, ts)"
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = {r["column"]: r["distinct"] for r in profile.distinct_count(nested, "a", "ts").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {"a": 3, "ts": 3}
+
+
 def test_value_counts_keep_null_and_sort(table):
     assert [tuple(r) for r in profile.value_counts(table, "s").collect()] == [("a", 2), (None, 1), ("b", 1)]
 

@@ -41,9 +41,3 @@ def test_broadcast_only_below_the_bound(spark):
     hinted = scratch.broadcast_if_small(df, 10)._jdf.queryExecution().logical().toString()
     assert "Hint broadcast" in hinted
     assert scratch.broadcast_if_small(df, scratch.BROADCAST_ROWS + 1) is df
-
-
-def test_size_estimate(spark):
-    small = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    large = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
-    assert 0 < scratch.estimated_bytes(small) < scratch.estimated_bytes(large) < 1 << 30
