@@ -13,6 +13,11 @@ fragment says about sets or pairs is counted there and summed over the fragments
 
 No pairs inside a component are formed after step 2, so a group of near copies costs a few pairs per member.
 Shingles are 64-bit numbers, sets are told apart by 64-bit digests; within a fragment 40 bits are kept.
+
+Very common shingles leave their fragments for layers of their own, each with a share of the sets, so that no
+task holds all sets with such a shingle. They count as shared, come last in the order of rarity and have
+leaders in each layer; overlaps look at fragments across layers. Which shingles are taken for common (a sample
+of the sets says so) changes where work is done but no result.
 """
 
 from __future__ import annotations
@@ -37,6 +42,11 @@ PAIRS_PER_SET = 6
 COARSE = 16
 BLOCK_PAIRS = 500_000
 TOKEN_BYTES = 5
+# One set in so many is looked at for common shingles: those of so many of the sets looked at, or more.
+SAMPLED_SETS = 4096
+COMMON_SAMPLED = 64
+# Sets of one layer of a common shingle.
+LAYER_SETS = 500_000
 # Sets (24 bytes each) that are broadcast to their shingles at most; beyond, both sides are shuffled.
 BROADCAST_SETS = 500_000
 
@@ -49,20 +59,35 @@ def _sets(column: pa.Array) -> Iterator[tuple[np.ndarray, int]]:
             yield s, int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else 0
 
 
-def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, set_id) of each row."""
+def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampled: int = SAMPLED_SETS) -> DataFrame:
+    """(id, n_shingles, set_id, sample) of each row; `sample`: the shingles themselves of one set in `sampled`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(len(s), d) for s, d in _sets(batch.column(1))]
-            sizes, digests = zip(*found) if found else ((), ())
+            found = [(len(s), d, s.tobytes() if len(s) and d % sampled == 0 else None) for s, d in _sets(batch.column(1))]
+            sizes, digests, samples = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.int64())],
-                names=["id", "n_shingles", "set_id"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.int64()), pa.array(samples, pa.binary())],
+                names=["id", "n_shingles", "set_id", "sample"],
             )
 
     source = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    return source.mapInArrow(run, "id bigint, n_shingles bigint, set_id bigint")
+    return source.mapInArrow(run, "id bigint, n_shingles bigint, set_id bigint, sample binary")
+
+
+def _common(sets: DataFrame, least: int) -> np.ndarray:
+    """Sorted shingles that `least` sampled sets have: at most one for every so many sampled shingles."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(data.as_py(), np.int64))], names=["shingle"])
+
+    looked_at = sets.where("sample is not null").groupBy("set_id").agg(F.first("sample").alias("sample"))
+    found = (
+        looked_at.select("sample").mapInArrow(each, "shingle bigint").groupBy("shingle").count().where(F.col("count") >= least)
+    )
+    return np.sort(np.array([r.shingle for r in found.select("shingle").collect()], np.int64).view(np.uint64))
 
 
 def _bytes_of(tokens: np.ndarray) -> bytes:
@@ -75,24 +100,33 @@ def _tokens_of(data: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-def _fragments(docs: DataFrame, text_col: str, n: int) -> DataFrame:
-    """Rows (frag, sets, counts, tokens): for some sets together, their shingles in one fragment."""
+def _fragments(docs: DataFrame, text_col: str, n: int, common: np.ndarray, layers: int) -> DataFrame:
+    """Rows (frag, layer, sets, counts, tokens): for some sets together, their shingles in one fragment.
+
+    Layer 0 has the shingles that are not common, layers 1 to `layers` the common ones of the sets placed there.
+    """
+    held_common = docs.sparkSession.sparkContext.broadcast(common)
 
     def packed(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
         ids = np.fromiter(sets, np.int64, len(sets))
         shingles = np.concatenate([*sets.values()])
         owner = np.repeat(np.arange(len(ids)), [len(s) for s in sets.values()])
-        frag = ((shingles >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-        order = np.argsort(frag, kind="stable")
-        frag, owner, shingles = frag[order], owner[order], shingles[order]
-        present, begin = np.unique(frag, return_index=True)
+        frag = (((shingles >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+        place = frag * (layers + 1)
+        if len(held_common.value):
+            at = np.minimum(np.searchsorted(held_common.value, shingles), len(held_common.value) - 1)
+            place += np.where(held_common.value[at] == shingles, 1 + ids[owner] % layers, 0)
+        order = np.argsort(place, kind="stable")
+        place, owner, shingles = place[order], owner[order], shingles[order]
+        present, begin = np.unique(place, return_index=True)
         rows: list[tuple] = []
-        for f, a, b in zip(present, begin, [*begin[1:], len(frag)]):
+        for p, a, b in zip(present.tolist(), begin, [*begin[1:], len(place)]):
             who, counts = np.unique(owner[a:b], return_counts=True)
-            rows.append((int(f), ids[who].tobytes(), counts.astype(np.int32).tobytes(), _bytes_of(shingles[a:b])))
+            f, layer = divmod(p, layers + 1)
+            rows.append((f, layer, ids[who].tobytes(), counts.astype(np.int32).tobytes(), _bytes_of(shingles[a:b])))
+        types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
-            names=["frag", "sets", "counts", "tokens"],
+            [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["frag", "layer", "sets", "counts", "tokens"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +144,7 @@ def _fragments(docs: DataFrame, text_col: str, n: int) -> DataFrame:
             yield packed(held)
 
     return docs.select(docs[text_col].alias("text")).mapInArrow(
-        run, "frag int, sets binary, counts binary, tokens binary"
+        run, "frag int, layer int, sets binary, counts binary, tokens binary"
     )
 
 
@@ -134,9 +168,10 @@ def _shared(table: pa.Table) -> pa.Table:
     who, t = who[order], t[order]
     first = np.concatenate([[True], (who[1:] != who[:-1]) | (t[1:] != t[:-1])])  # a set packed more than once
     who, t = who[first], t[first]
+    layer = table.column("layer")[0].as_py()
     order, times = _runs(t)
     several = np.zeros(len(t), bool)
-    several[order] = times > 1
+    several[order] = (times > 1) | (layer > 0)
     who, t = who[several], t[several]
     sets, begin = np.unique(who, return_index=True)
     ends = [*begin[1:], len(who)]
@@ -144,6 +179,7 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "frag": pa.array([frag] * len(sets), pa.int32()),
+            "layer": pa.array([layer] * len(sets), pa.int32()),
             "set_id": pa.array(sets, pa.int64()),
             "n_shared": pa.array(np.array(ends, np.int64) - begin, pa.int64()),
             "tokens": pa.array([_bytes_of(t[a:b]) for a, b in zip(begin, ends)], pa.binary()),
@@ -186,7 +222,7 @@ def _rarity(table: pa.Table) -> pa.Table:
     rows, tokens = _unpacked(table)
     order, times = _runs(tokens)
     df = np.empty(len(tokens), np.uint32)
-    df[order] = times
+    df[order] = times if table.column("layer")[0].as_py() == 0 else np.iinfo(np.uint32).max  # the same in every layer
     keep = df > 1
     rows, tokens, df = rows[keep], tokens[keep], df[keep]
     present, begin = np.unique(rows, return_index=True)
@@ -307,7 +343,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def _open_pairs(segments: DataFrame, comp: DataFrame) -> DataFrame:
     """Pairs of different components that agree in their prefixes and may still reach the similarity."""
-    rare = segments.groupBy("frag").applyInArrow(_rarity, "set_id bigint, n bigint, dfs binary, tokens binary")
+    rare = segments.groupBy("frag", "layer").applyInArrow(_rarity, "set_id bigint, n bigint, dfs binary, tokens binary")
     prefix = (
         rare.repartition("set_id").sortWithinPartitions("set_id")
         .mapInArrow(_prefixes, "token bigint, set_id bigint, n bigint, pos bigint")
@@ -340,14 +376,16 @@ def _open_pairs(segments: DataFrame, comp: DataFrame) -> DataFrame:
     )
 
 
-def set_components(docs: DataFrame, sets: DataFrame, text_col: str = "text") -> DataFrame:
+def set_components(docs: DataFrame, sets: DataFrame, text_col: str = "text", common_sampled: int = COMMON_SAMPLED,
+                   layer_sets: int = LAYER_SETS) -> DataFrame:
     """(node, comp) of every distinct set that is linked with another one; `sets` is durable."""
     distinct = sets.where("n_shingles > 0").groupBy("set_id").agg(F.first("n_shingles").alias("n"))
-    total = distinct.agg(F.sum("n")).first()[0] or 0
+    n_sets, total = distinct.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    common = _common(sets, common_sampled)
     fragments = max(2 * COARSE, total // FRAGMENT_SHINGLES + 1)
     shared = durable(
-        _fragments(docs, text_col, fragments).groupBy("frag").applyInArrow(
-            _shared, "frag int, set_id bigint, n_shared bigint, tokens binary"
+        _fragments(docs, text_col, fragments, common, n_sets // layer_sets + 1).groupBy("frag", "layer").applyInArrow(
+            _shared, "frag int, layer int, set_id bigint, n_shared bigint, tokens binary"
         )
     )
     alive = (
@@ -358,7 +396,7 @@ def set_components(docs: DataFrame, sets: DataFrame, text_col: str = "text") ->
     alive = durable(alive)
     few = F.broadcast(alive) if alive.count() <= BROADCAST_SETS else alive
     segments = durable(shared.drop("n_shared").join(few, "set_id"))
-    votes = segments.groupBy("frag").applyInArrow(
+    votes = segments.groupBy("frag", "layer").applyInArrow(
         _leader_pairs, "x bigint, y bigint, nx bigint, ny bigint, votes bigint"
     )
     best = Window.partitionBy("x").orderBy(F.desc("votes"), "y")

@@ -76,7 +76,36 @@ def op10_quality(spark, sf_dir):
     return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-@query("op3_jaccard")
+OP3_SQL = r"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+        ) AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE
+            WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+            WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+        END AS shingles
+        FROM split
+    ), members AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+    links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y
+        FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+    ), reached AS (
+        SELECT doc_id, doc_id AS other FROM sets
+        UNION
+        SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other
+    )
+    SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, m.component_id
+    FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) m ON m.doc_id = s.doc_id
+"""
+
+
+@query("op3_jaccard", OP3_SQL)
 def op3_jaccard(spark, sf_dir):
     return jaccard.similarity_components(documents(spark, sf_dir))
 

@@ -255,15 +255,15 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     pieces = _pieces(spark, path)
     found = pieces.mapInArrow(_whole_records, "file string, block bigint, n bigint, " + RECORD)
     simple = found.join(_bounded(odd), ["file", "block", "n"], "left_anti").select(columns)
-    parted = offsets.where("record and head + content > size").select(
-        "file", F.col("offset").alias("first"), F.col("next").alias("last")
-    )
-    if parted.isEmpty():
+    parted = "record and head + content > size"
+    if offsets.where(parted).isEmpty():
         return simple
+    # Records do not overlap, so a piece can only belong to the last such record that begins at or before it.
+    so_far = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
+    begun = F.last(F.when(F.expr(parted), F.struct("offset", "next")), ignorenulls=True).over(so_far)
     parts = durable(
-        offsets.withColumnRenamed("offset", "start").join(parted, "file")
-        .where("start >= first and start < last")
-        .select("file", "block", "n", "start", F.col("first").alias("offset"))
+        offsets.withColumn("begun", begun).where("offset < begun.next")
+        .select("file", "block", "n", F.col("offset").alias("start"), F.col("begun.offset").alias("offset"))
     )
     raw = pieces.mapInArrow(_raw, "file string, block bigint, n bigint, piece binary")
     held = raw.join(_bounded(parts), ["file", "block", "n"])

@@ -12,6 +12,7 @@ from compare import duck, duck_rows, spark_rows
 from ledgerlens.llm import bpe, chunks, decontaminate, fingerprint, jaccard, langid, licences, quality, sharding, warc
 from ledgerlens.llm.graph import components
 from ledgerlens.llm.queries import ORACLE, QUERIES, vocabulary_path
+from ledgerlens.scratch import durable
 
 SF = "/root/testdata/sf0.001"
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -84,6 +85,31 @@ def test_jaccard_of_a_chain_of_near_copies(spark):
     assert got == linked_components(rows)
 
 
+def test_jaccard_agrees_with_sql(spark):
+    assert spark_rows(QUERIES["op3_jaccard"](spark, SF)) == duck_rows(duck(SF), ORACLE["op3_jaccard"])
+
+
+def test_jaccard_layers_of_common_shingles_change_no_result(spark):
+    line = "a passage of ten words that many of these share"
+    rows = [(i, " ".join([line, *(f"own{i // 3}x{j}" for j in range(12)), f"last{i}"])) for i in range(90)]
+    rows += [(100 + i, f"{line} {'tail ' * (i % 4)}".strip()) for i in range(8)]
+    source = docs(spark, rows)
+    sets = durable(jaccard.shingle_sets(source, sampled=1))
+    assert len(jaccard._common(sets, 50)) == 6
+    own = {r.id: r.set_id for r in sets.collect()}
+    found = []
+    for least in (1 << 40, 50, 2):
+        got = {r.node: r.comp for r in jaccard.set_components(source, sets, common_sampled=least, layer_sets=9).collect()}
+        groups = defaultdict(set)
+        for d, s in own.items():
+            groups[got.get(s, s)].add(d)
+        found.append({frozenset(g) for g in groups.values()})
+    expected = defaultdict(set)
+    for d, (_, c) in linked_components(rows).items():
+        expected[c].add(d)
+    assert found == [{frozenset(g) for g in expected.values()}] * 3
+
+
 def test_jaccard_edges(edge, empty):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similarity_components(edge).collect()}
     assert {(0, 0, 0), (1, 0, 1), (2, 0, 2), (3, 1, 3), (4, 1, 4), (7, 3, 7), (None, 3, None), (None, 0, None)} <= got
