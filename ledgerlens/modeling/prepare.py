@@ -79,12 +79,14 @@ def class_weights(
 
 
 def feature_stages(
-    categorical: list[str], numeric: list[str], booleans: list[str] | None = None, encoding: str = "one_hot"
+    categorical: list[str], numeric: list[str], booleans: list[str] | None = None, encoding: str = "one_hot",
+    median_error: float = 0.001,
 ) -> list[Estimator | Transformer]:
     """Encode text, fill numeric gaps with the median, assemble one vector.
 
     The multi-column estimators fit all columns in one pass each. Encoded text comes first in the vector,
-    then numbers. `booleans` names those numeric columns that hold yes or no.
+    then numbers. `booleans` names those numeric columns that hold yes or no. The rank of a median is off by
+    `median_error` of the rows at most.
 
     `encoding="one_hot"` gives each value of a text column a slot, and unknown or missing text another;
     its dictionary passes through the driver. `"hashed"` spreads all text over HASH_SLOTS shared slots
@@ -108,6 +110,6 @@ def feature_stages(
         stages.append(SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"))
     if numeric:
         inputs = [f"{c}_number" if c in yes_no else c for c in numeric]
-        stages.append(Imputer(inputCols=inputs, outputCols=filled, strategy="median"))
+        stages.append(Imputer(inputCols=inputs, outputCols=filled, strategy="median", relativeError=median_error))
     stages.append(VectorAssembler(inputCols=encoded + filled, outputCol=FEATURES, handleInvalid="error"))
     return stages

@@ -121,26 +121,31 @@ def missing_count(df: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def _moments(column: str) -> list[Column]:
+def _moments(df: DataFrame, column: str) -> list[Column]:
+    """`min` and `max` are doubles; whole and decimal numbers also have theirs digit by digit, as text."""
     value = F.col(column)
+    digits = isinstance(df.schema[column].dataType, (T.IntegralType, T.DecimalType))
+    exact = lambda v: (v if digits else F.lit(None)).cast("string")
     return [
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("stddev"),
         F.min(value).cast("double").alias("min"),
         F.max(value).cast("double").alias("max"),
+        exact(F.min(value)).alias("exact_min"),
+        exact(F.max(value)).alias("exact_max"),
     ]
 
 
 def column_stats(df: DataFrame, *columns: str) -> DataFrame:
     """Mean, sample deviation, minimum and maximum per column; null where there is no value."""
-    return _one_row_per_column(df, [F.struct(F.lit(c).alias("column"), *_moments(c)) for c in columns])
+    return _one_row_per_column(df, [F.struct(F.lit(c).alias("column"), *_moments(df, c)) for c in columns])
 
 
 def describe_numbers(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Table summary of the numeric columns in long form (`df.describe()` returns text cells)."""
     chosen = numeric_columns(df) if columns is None else columns
     return _one_row_per_column(
-        df, [F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), *_moments(c)) for c in chosen]
+        df, [F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), *_moments(df, c)) for c in chosen]
     )
 
 
@@ -178,7 +183,7 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, approx: bool
                 F.lit(column_type(df, c)).alias("type"),
                 distinct[c].alias("distinct"),
                 missing(c).alias("missing"),
-                *_moments(c),
+                *_moments(df, c),
             )
             for c in chosen
         ],

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import epoch_micros
 from ledgerlens.schema import CUSTOMER, ID, TIME
-from ledgerlens.scratch import broadcast_if_small, durable
+from ledgerlens.scratch import durable
 
 # Rows of one customer that a single task may sort.
 HEAVY_ROWS = 2_000_000
@@ -21,15 +21,16 @@ def _previous_in_one_task(df: DataFrame, customer: str, time: str, tie: str, out
 
 
 def _previous_across_tasks(
-    df: DataFrame, slices: int, heavy_keys: int, customer: str, time: str, tie: str, out: str
+    df: DataFrame, slices: int, customer: str, time: str, tie: str, out: str
 ) -> DataFrame:
     """The previous time of rows whose customer is too large for one task.
 
     Rows are cut into ranges of (customer, time, tie), so a customer spreads over as many ranges as it
     needs, even if all its times are equal. Within a range `lag` gives the answer; the first row of a
-    customer in a range takes the customer's last time from the nearest earlier range, which is a table
-    of at most slices + heavy_keys rows. Range bounds come from a sample, hence the ranged rows are
-    written out once so that both reads agree on them.
+    customer in a range takes the customer's last time from the nearest earlier range, which is a small
+    table (a row per range and per heavy customer), written out so that Spark knows its size and broadcasts it
+    or not. Range bounds come from a sample, hence the ranged rows are written out once so that both reads
+    agree on them: with all their columns, as joining narrow rows back by id would shuffle those as well.
     """
     ranged = durable(
         df.repartitionByRange(slices, customer, time, tie).withColumn("_slice", F.spark_partition_id())
@@ -45,7 +46,7 @@ def _previous_across_tasks(
     same = F.col("_slice").eqNullSafe(F.col("_at")) & F.col(customer).eqNullSafe(F.col("_key"))
     return (
         ranged.withColumn("_near", F.lag(time).over(inside))
-        .join(broadcast_if_small(carried, slices + heavy_keys), same, "left")
+        .join(durable(carried), same, "left")
         .withColumn(out, F.coalesce("_near", "_carried"))
         .select(*df.columns, out)
     )
@@ -72,12 +73,12 @@ def with_previous_time(
     if not found["keys"]:
         return _previous_in_one_task(df, customer, time, tie, out)
 
-    keys = broadcast_if_small(durable(heavy.select("_heavy")), found["keys"])
+    keys = durable(heavy.select("_heavy"))
     is_heavy = key.eqNullSafe(F.col("_heavy"))
     slices = math.ceil(found["rows"] / heavy_rows) + 1
     light = _previous_in_one_task(df.join(keys, is_heavy, "left_anti"), customer, time, tie, out)
     large = _previous_across_tasks(
-        df.join(keys, is_heavy, "left_semi"), slices, found["keys"], customer, time, tie, out
+        df.join(keys, is_heavy, "left_semi"), slices, customer, time, tie, out
     )
     return light.unionByName(large)
 

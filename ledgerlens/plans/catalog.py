@@ -213,6 +213,17 @@ def distinct_values(spark, sf_dir):
     )
 
 
+@query("P5_distinct_approx")
+def distinct_values_approx(spark, sf_dir):
+    """Whether each sketch is within three deviations (of 5 percent) of the exact count."""
+    rows = transactions(spark, sf_dir)
+    columns = ["amount", "device_type", "customer_id", "time_since_last"]
+    exact = profile.distinct_count(rows, *columns)
+    sketch = profile.distinct_count(rows, *columns, approx=True).withColumnRenamed("distinct", "sketch")
+    near = F.abs(F.col("sketch") - F.col("distinct")) <= 0.15 * F.col("distinct")
+    return exact.join(sketch, "column").withColumn("near", near).drop("sketch")
+
+
 @query("P6_missing")
 def missing_values(spark, sf_dir):
     return profile.missing_count(transactions(spark, sf_dir), "amount", "device_type", "time_since_last")
@@ -407,6 +418,19 @@ def hash_split(spark, sf_dir):
     return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
 
+@query("M2_feature_roles")
+def feature_roles(spark, sf_dir):
+    """Role of each chosen feature, one of them yes or no, with the rows that have a value."""
+    rows = features.build_features(transactions(spark, sf_dir)).withColumn("abroad", F.col("foreign_country") > 0)
+    categorical, numeric = modeling.feature_roles(rows, [*CHOSEN, "abroad"])
+    cells = [
+        F.struct(F.lit(c).alias("feature"), F.lit(role).alias("role"), F.count(c).alias("filled"))
+        for role, columns in (("categorical", categorical), ("numeric", numeric))
+        for c in columns
+    ]
+    return rows.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
 @query("M3_class_weights")
 def class_weights(spark, sf_dir):
     return modeling.class_weights(transactions(spark, sf_dir)).select(
@@ -414,9 +438,9 @@ def class_weights(spark, sf_dir):
     )
 
 
-def _staged(spark, sf_dir, categorical: list[str], numeric: list[str]) -> DataFrame:
+def _staged(spark, sf_dir, categorical: list[str], numeric: list[str], **options) -> DataFrame:
     rows = features.build_features(transactions(spark, sf_dir))
-    return Pipeline(stages=feature_stages(categorical, numeric)).fit(rows).transform(rows)
+    return Pipeline(stages=feature_stages(categorical, numeric, **options)).fit(rows).transform(rows)
 
 
 def _slots(vector: str, n: int) -> list:
@@ -445,6 +469,14 @@ def feature_vector(spark, sf_dir):
     )
 
 
+@query("M6_feature_vector_gaps")
+def feature_vector_gaps(spark, sf_dir):
+    """Gaps in the velocity take its median (the exact one up to 50,000 values)."""
+    return _staged(spark, sf_dir, [], ["amount", "txn_velocity"], median_error=1e-5).select(
+        "transaction_id", *_slots(FEATURES, 2)
+    )
+
+
 @query("M8_logistic_regression")
 def logistic_regression(spark, sf_dir):
     return _scores(spark, sf_dir, "Logistic Regression")

@@ -32,7 +32,11 @@ def _per_column(columns: list[str], row: str, **fields: dict[str, str]) -> str:
 def _moments(c: str = "{c}") -> str:
     return (
         f"ROUND(AVG({c}), {DECIMALS}) AS mean, ROUND(STDDEV_SAMP({c}), {DECIMALS}) AS stddev, "
-        f"CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max"
+        f"CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max, "
+        + ", ".join(
+            f"CASE WHEN ANY_VALUE(typeof({c})) <> 'DOUBLE' THEN CAST({f}({c}) AS VARCHAR) END AS exact_{f.lower()}"
+            for f in ("MIN", "MAX")
+        )
     )
 
 
@@ -191,6 +195,11 @@ ORACLE: dict[str, str] = {
     "P5_distinct": _tx(
         _per_column(["amount", "device_type", "customer_id", "time_since_last"], "'{c}' AS \"column\", " + DISTINCT)
     ),
+    "P5_distinct_approx": _tx(
+        _per_column(
+            ["amount", "device_type", "customer_id", "time_since_last"], "'{c}' AS \"column\", TRUE AS near, " + DISTINCT
+        )
+    ),
     "P6_missing": _tx(_per_column(["amount", "device_type", "time_since_last"], "'{c}' AS \"column\", " + MISSING)),
     "P8_column_stats": _tx(_per_column(["amount", "time_since_last"], "'{c}' AS \"column\", " + _moments())),
     "P9_histogram": _tx("SELECT bin, low, high, n FROM e", _histogram("amount")),
@@ -260,6 +269,25 @@ ORACLE: dict[str, str] = {
     "M1_hash_split": _tx(
         f"SELECT transaction_id, CASE WHEN {_bucket(100)} >= 20 THEN 'train' ELSE 'test' END AS part FROM t"
     ),
+    "M2_feature_roles": _tx(
+        "SELECT 'merchant_category' AS feature, 'categorical' AS role, COUNT(merchant_category) AS filled FROM t "
+        + "".join(
+            f"UNION ALL SELECT '{f}', 'numeric', COUNT({value}) FROM v "
+            for f, value in {
+                "amount": "amount",
+                "distance_from_home": "distance_from_home",
+                "hour_of_day": "hour(timestamp)",
+                "txn_velocity": "txn_velocity",
+                "abroad": "foreign_country",
+            }.items()
+        ),
+        f"v AS (SELECT *, {ORIGIN_DISTANCE}, {VELOCITY} FROM t)",
+    ),
+    "M6_feature_vector_gaps": _tx(
+        "SELECT transaction_id, amount AS slot_0, COALESCE(txn_velocity, (SELECT quantile_disc(txn_velocity, 0.5) FROM v)) "
+        "AS slot_1 FROM v",
+        f"v AS (SELECT *, {VELOCITY} FROM t)",
+    ),
     "M3_class_weights": _tx(
         "SELECT transaction_id, is_fraud, CASE WHEN is_fraud = 1 THEN n0 / n ELSE n1 / n END AS class_weight "
         "FROM t, w",

@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows of a few narrow columns that every executor can hold a copy of.
-BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,8 +37,3 @@ def durable(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast when the counted `rows` allow it; otherwise Spark is left to shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -75,6 +75,8 @@ def test_all_null_column_has_null_stats(spark):
         "stddev": None,
         "min": None,
         "max": None,
+        "exact_min": None,
+        "exact_max": None,
     }
 
 
@@ -166,3 +168,10 @@ def test_distribution_shares_one_shuffle(spark):
 def test_distribution_of_text_is_refused(table):
     with pytest.raises(ValueError, match="s is not numeric"):
         profile.profile_distribution(table, "s")
+
+
+def test_extremes_keep_every_digit(spark):
+    big = (1 << 53) + 1
+    df = spark.createDataFrame([(big, 0.5), (big, 1.5)], "x long, y double")
+    got = {r["column"]: (r["exact_min"], r["exact_max"], r["max"]) for r in profile.column_stats(df, "x", "y").collect()}
+    assert got == {"x": (str(big), str(big), float(1 << 53)), "y": (None, None, 1.5)}

@@ -34,10 +34,3 @@ def test_durable_rows_keep_their_order_of_columns_types_and_slices(spark):
     ranges = kept.groupBy("slice").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).orderBy("slice").collect()
     assert len(ranges) == 6 and all(a.hi < b.lo for a, b in zip(ranges, ranges[1:]))
     assert kept.count() == 1000 and kept.collect() == kept.collect()
-
-
-def test_broadcast_only_below_the_bound(spark):
-    df = spark.range(10)
-    hinted = scratch.broadcast_if_small(df, 10)._jdf.queryExecution().logical().toString()
-    assert "Hint broadcast" in hinted
-    assert scratch.broadcast_if_small(df, scratch.BROADCAST_ROWS + 1) is df
