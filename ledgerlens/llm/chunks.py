@@ -1,8 +1,7 @@
-"""Substring deduplication: content-defined chunks by a gear rolling hash, one copy of each digest kept."""
+"""Substring deduplication: passages found by winnowed 100-byte grams and extended byte by byte, first copies kept."""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,11 +14,15 @@ from ledgerlens.scratch import durable
 
 # Bytes of a chunk: at least, at most; and the hash bits that are zero at a cut (a cut every 32 bytes on average).
 SHORTEST, LONGEST, CUT_BITS = 32, 256, 5
-# Repeated chunks next to each other are cut out from this many bytes on; shorter repeats are ordinary language.
+# Repeats are cut out from this many bytes on; shorter repeats are ordinary language. An anchor has as many.
 SHORTEST_CUT = 100
+# Grams that begin in so many bytes hold an anchor (a power of two): a repeat of SHORTEST_CUT + WINDOW - 1 bytes has one.
+WINDOW = 64
 # Bytes that are hashed together.
 SLICE = 1 << 20
 
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64))
+_BASE = 0x9E3779B97F4A7C15
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
@@ -39,7 +42,10 @@ def _cut_points(data: np.ndarray) -> np.ndarray:
 
 
 def chunk_bounds(data: np.ndarray) -> list[int]:
-    """0 = b0 < b1 < ... = length; no bound inside a UTF-8 character, all as the content says."""
+    """0 = b0 < b1 < ... = length; no bound inside a UTF-8 character, all as the content says.
+
+    Anchors have taken the place of these chunks in the operator.
+    """
     n = len(data)
     bounds, at = [0], 0
     points = _cut_points(data).tolist() if n > SHORTEST else []
@@ -64,40 +70,161 @@ def _forward(data: np.ndarray, p: int, n: int) -> int:
     return p
 
 
-def text_chunks(docs: DataFrame) -> DataFrame:
-    """(doc, mark, start, size, digest) of every chunk of every whole text of `docs` (doc, mark, text)."""
+def _grams(data: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the SHORTEST_CUT bytes from every position on."""
+    n = len(data) - SHORTEST_CUT + 1
+    h, width, at, out = _BYTES[data], 1, 0, np.zeros(n, np.uint64)
+    while True:
+        if SHORTEST_CUT & width:
+            out = out * np.uint64(pow(_BASE, width, 1 << 64)) + h[at : at + n]
+            at += width
+        if 2 * width > SHORTEST_CUT:
+            return mix(out)
+        h = h[:-width] * np.uint64(pow(_BASE, width, 1 << 64)) + h[width:]
+        width *= 2
+
+
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the grams that are smallest among WINDOW neighbours, and of the first and last gram."""
+    m = len(data) - SHORTEST_CUT + 1
+    if m < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    starts, hashes = [], []
+    for at in range(0, m, SLICE):
+        lo, hi = max(0, at - WINDOW + 1), min(m, at + SLICE + WINDOW - 1)
+        h = _grams(data[lo : hi + SHORTEST_CUT - 1])
+        if len(h) <= WINDOW:
+            chosen = h == h.min()
+        else:
+            least, width = h, 1
+            while width < WINDOW:
+                least = np.minimum(least[:-width], least[width:])
+                width *= 2
+            edge = np.zeros(WINDOW - 1, np.uint64)
+            most, width = np.concatenate([edge, least, edge]), 1
+            while width < WINDOW:
+                most = np.maximum(most[:-width], most[width:])
+                width *= 2
+            chosen = h == most
+        if lo == 0:
+            chosen[0] = True
+        if hi == m:
+            chosen[-1] = True
+        here = np.flatnonzero(chosen)
+        here = here[(here + lo >= at) & (here + lo < at + SLICE)]
+        starts.append(here + lo)
+        hashes.append(h[here])
+    return _thinned(np.concatenate(starts), np.concatenate(hashes))
+
+
+def _thinned(starts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal grams in a row the first, the last and as few between as leave no gap above WINDOW."""
+    same = hashes[1:] == hashes[:-1]
+    if not same.any():
+        return starts, hashes
+    keep, last = [0], int(starts[0])
+    at = starts.tolist()
+    for i in range(1, len(at)):
+        ends = i == len(at) - 1 or not same[i]
+        if not same[i - 1] or ends or at[i + 1] - last > WINDOW:
+            keep.append(i)
+            last = at[i]
+    return starts[keep], hashes[keep]
+
+
+def text_anchors(docs: DataFrame) -> DataFrame:
+    """(doc, mark, start, digest) of every anchor of every whole text of `docs` (doc, mark, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, start, size, digest = [], [], [], []
+            row, start, digest = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
             for i, text in enumerate(batch.column(2)):
-                data = text.as_buffer().to_pybytes() if text.is_valid else b""
-                bounds = chunk_bounds(np.frombuffer(data, np.uint8))
-                for a, b in zip(bounds, bounds[1:]):
+                if text.is_valid:
+                    a, h = anchors(np.frombuffer(text.as_buffer(), np.uint8))
+                    row.append(np.full(len(a), i))
                     start.append(a)
-                    size.append(b - a)
-                    digest.append(
-                        int.from_bytes(hashlib.blake2b(data[a:b], digest_size=8).digest(), "little", signed=True)
-                    )
-                row += [i] * (len(bounds) - 1)
-            at = pa.array(row, pa.int32())
+                    digest.append(h)
+            at = pa.array(np.concatenate(row), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(start, pa.int32()),
-                 pa.array(size, pa.int32()), pa.array(digest, pa.int64())],
-                names=["doc", "mark", "start", "size", "digest"],
+                [batch.column(0).take(at), batch.column(1).take(at),
+                 pa.array(np.concatenate(start).astype(np.int32)), pa.array(np.concatenate(digest).view(np.int64))],
+                names=["doc", "mark", "start", "digest"],
             )
 
-    return docs.mapInArrow(run, "doc bigint, mark int, start int, size int, digest bigint")
+    return docs.mapInArrow(run, "doc bigint, mark bigint, start int, digest bigint")
 
 
-def _spans(found: list[dict]) -> list[tuple[int, int]]:
-    """Touching repeated chunks joined, those of enough bytes."""
+EDGE = "doc bigint, mark bigint, at int, side int, fdoc bigint, fmark bigint, fat int"
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both edges of every span that later anchors cover, and the same places of their first copies."""
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+    names = [c.split()[0] for c in EDGE.split(", ")]
+    for batch in batches:
+        rows = []
+        for doc, mark, found in zip(*(c.to_pylist() for c in batch.columns)):
+            spans: list[list] = []
+            for c in sorted(found, key=lambda c: c["start"]):
+                a = c["start"]
+                b = a + SHORTEST_CUT
+                # A copy that overlaps its first one leaves that whole.
+                if c["doc"] == doc and c["mark"] == mark:
+                    a = max(a, c["first"] + SHORTEST_CUT)
+                if a >= b:
+                    continue
+                right = (c["doc"], c["mark"], c["first"] + SHORTEST_CUT)
+                if spans and a <= spans[-1][2]:
+                    spans[-1][2:] = [b, right]
+                else:
+                    left = (c["doc"], c["mark"], c["first"]) if a == c["start"] else (None, None, None)
+                    spans.append([a, left, b, right])
+            for a, left, b, right in spans:
+                rows += [(doc, mark, a, 0, *left), (doc, mark, b, 1, *right)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Up to WINDOW bytes before (side 0) or after (side 1) the places asked for."""
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    for batch in batches:
+        rows = []
+        for doc, mark, text, wants in zip(*batch.columns):
+            data = text.as_buffer()
+            for w in wants.as_py():
+                at = w["fat"]
+                part = data[max(0, at - WINDOW) : at] if w["side"] == 0 else data[at : min(len(data), at + WINDOW)]
+                rows.append((doc.as_py(), mark.as_py(), at, w["side"], part.to_pybytes()))
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["fdoc", "fmark", "fat", "side", "near"]
+            )
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """Bytes that both begin with."""
+    n = min(len(a), len(b))
+    return next((i for i in range(n) if a[i] != b[i]), n)
+
+
+def _spans(data: bytes, edges: list[dict]) -> list[tuple[int, int]]:
+    """Spans between edges, as far as the bytes around agree with those around the first copy; whole characters."""
+    edges = sorted(edges, key=lambda e: (e["at"], e["side"]))
     out: list[list[int]] = []
-    for c in sorted(found, key=lambda c: c["start"]):
-        if out and out[-1][1] == c["start"]:
-            out[-1][1] += c["size"]
+    for left, right in zip(edges[::2], edges[1::2]):
+        a, b = left["at"], right["at"]
+        a -= _common(data[max(0, a - WINDOW) : a][::-1], (left["near"] or b"")[::-1])
+        b += _common(data[b : b + WINDOW], right["near"] or b"")
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(b, out[-1][1])
         else:
-            out.append([c["start"], c["start"] + c["size"]])
+            out.append([a, b])
+    for span in out:
+        while span[0] < len(data) and data[span[0]] & 0xC0 == 0x80:
+            span[0] += 1
+        while span[1] < len(data) and data[span[1]] & 0xC0 == 0x80:
+            span[1] -= 1
     return [(a, b) for a, b in out if b - a >= SHORTEST_CUT]
 
 
@@ -106,13 +233,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, cuts, removed = [], [], []
         last = batch.num_columns - 1
         for text, found in zip(batch.column(last - 1), batch.column(last)):
-            spans = _spans(found.as_py()) if found.is_valid else []
+            data = text.as_buffer().to_pybytes() if found.is_valid else b""
+            spans = _spans(data, found.as_py()) if found.is_valid else []
             cuts.append([{"start": a, "end": b} for a, b in spans])
             removed.append(sum(b - a for a, b in spans))
             if not spans:
                 texts.append(text.as_py())
                 continue
-            data, at, left = text.as_buffer().to_pybytes(), 0, []
+            at, left = 0, []
             for a, b in spans:
                 left.append(data[at:a])
                 at = b
@@ -129,28 +257,46 @@ def drop_repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col:
                              keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Kept columns, `text` without repeated passages, `cut_spans` (bytes of the old text) and `cut_bytes`.
 
-    Of each chunk the first stays: that of the smallest id (null ids last), then the smallest position.
-    Touching chunks that have an earlier copy, in the same document or another, are cut out from 100 bytes
-    on. A passage of more than 50 words loses its copies but for parts of chunks at its ends. Null and empty
-    texts stay as they are. Rows that agree in id and text are one document: they are cut alike. Whole texts
-    that occur earlier are cut to the empty text; the row stays.
+    Of each 100-byte anchor the first stays: that of the smallest id (null ids last), then the smallest position.
+    What later anchors cover is cut out, together with the bytes around that agree with those around the first
+    copy. Every passage of 163 bytes or more that occurs earlier has an anchor (51 words of 2.2 letters), so none
+    is missed; shorter repeats from 100 bytes on may be. At an end up to 63 bytes stay where the anchor nearest
+    to it has its first copy in another place that ends sooner, and characters cut in two stay. Null and empty
+    texts stay as they are. Rows that agree in id and text are one document: they are cut alike. Whole texts of
+    100 bytes or more that occur earlier are cut to the empty text; the row stays.
     """
     clash = set(keep) & {"text", "cut_spans", "cut_bytes"}
     if clash:
         raise ValueError(f"columns {sorted(clash)} are both kept and made")
-    mark, doc = F.hash(docs[text_col]), docs[id_col].cast("long")
-    chunks = text_chunks(docs.select(doc.alias("doc"), mark.alias("mark"), docs[text_col].alias("text")))
-    place = F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "mark", "start")
+    mark, doc = F.xxhash64(docs[text_col]), F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1))
+    texts = docs.select(doc.alias("doc"), mark.alias("mark"), docs[text_col].alias("text"))
+    found = text_anchors(texts)
+    place = F.struct("doc", "mark", "start")
     first = durable(
-        chunks.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    )
+    later = found.join(first, "digest").where(place != F.col("first"))
+    covered = later.groupBy("doc", "mark").agg(F.collect_set(F.struct(
+        "start", F.col("first.doc").alias("doc"), F.col("first.mark").alias("mark"), F.col("first.start").alias("first")
+    )).alias("found"))
+    edges = durable(covered.mapInArrow(_edges, EDGE))
+    place = ["fdoc", "fmark", "fat", "side"]
+    wants = edges.where("fat is not null").select(place).distinct().groupBy("fdoc", "fmark").agg(
+        F.collect_list(F.struct("fat", "side")).alias("wants")
+    )
+    asked = texts.join(wants, (F.col("doc") == F.col("fdoc")) & (F.col("mark") == F.col("fmark")))
+    near = asked.select("doc", "mark", "text", "wants").mapInArrow(
+        _near, "fdoc bigint, fmark bigint, fat int, side int, near binary"
+    )
+    near = durable(near.groupBy(place).agg(F.min("near").alias("near")))
+    found = edges.join(near, place, "left").groupBy("doc", "mark").agg(
+        F.collect_list(F.struct("at", "side", "near")).alias("__found")
     )
-    later = chunks.join(first, "digest").where(place != F.col("first"))
-    found = later.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "size")).alias("__found"))
     rows = docs.select(
         *[docs[c].alias(f"__{i}") for i, c in enumerate(keep)], doc.alias("__doc"), mark.alias("__mark"),
         docs[text_col].alias("__text"),
     )
-    joined = rows.join(found, rows["__doc"].eqNullSafe(found["doc"]) & (rows["__mark"] == found["mark"]), "left").select(
+    joined = rows.join(found, (rows["__doc"] == found["doc"]) & (rows["__mark"] == found["mark"]), "left").select(
         *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep)], "__text", "__found"
     )
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[: len(keep)]]

@@ -1,6 +1,7 @@
 """Each operator against brute force, an exact round trip or held-out accuracy, and on edge rows."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -237,6 +238,29 @@ def test_chunks_resist_an_insertion_and_lose_repeats(spark, edge, empty):
     assert chunks.drop_repeated_substrings(empty).count() == 0
 
 
+def test_no_repeated_passage_of_51_words_is_left(spark):
+    words = [w for _, t in table(spark.read.parquet(f"{SF}/documents.parquet")) for w in t.split() if len(w) > 1]
+    draw = random.Random(8)
+    prose = lambda n: " ".join(draw.choices(words, k=n))
+    passages = [prose(51) for _ in range(150)]
+    rows = [(i, f"{prose(90)} {p} {prose(90)}") for i, p in enumerate(passages * 2)]
+    got = {r.doc_id: r.text for r in chunks.drop_repeated_substrings(docs(spark, rows)).collect()}
+    windows = lambda t: {tuple(t.split()[i : i + 51]) for i in range(len(t.split()) - 50)}
+    seen, left = set(), 0
+    for i, _ in rows:
+        own = windows(got[i])
+        left += len(seen & own)
+        seen |= own
+    assert left == 0
+    assert [got[i] for i in range(150)] == [t for _, t in rows[:150]]
+    # All bytes of the passage go, and no more than chance agreement of the neighbours.
+    assert all(len(rows[i][1].encode()) - len(got[i].encode()) - len(passages[i - 150].encode()) in range(20) for i in range(150, 300))
+    periodic = "".join(["word " * 400, "x" * 700, "é" * 300])
+    again = docs(spark, [(1, periodic), (2, f"own {periodic} end"), (3, periodic)])
+    got = {r.doc_id: r.text for r in chunks.drop_repeated_substrings(again).collect()}
+    assert got[3] == "" and len(got[2]) < 120 and got[1].startswith("word " * 20)
+
+
 def test_warc_agrees_with_sql(spark):
     columns, rows = spark_rows(QUERIES["op1_warc"](spark, SF))
     assert (columns, rows) == duck_rows(duck(SF), ORACLE["op1_warc"])
