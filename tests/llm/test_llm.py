@@ -189,6 +189,27 @@ def test_a_group_larger_than_a_shard_fills_shards(spark):
     assert sum(1 for n in held.values() if n) <= 9
 
 
+@pytest.mark.parametrize("sizes", [[2] * 800, [2] * 500 + [1] * 600, [10] * 152 + [2] * 40, [1500, *[2] * 50]])
+def test_copies_share_a_shard_where_all_or_nearly_all_rows_have_copies(spark, sizes):
+    texts = [f"text {k}" for k, n in enumerate(sizes) for _ in range(n)]
+    rows = sharding.shard_documents(docs(spark, list(enumerate(texts)))).collect()
+    held, full = defaultdict(set), defaultdict(int)
+    for r in rows:
+        held[texts[r.doc_id]].add(r.shard)
+        full[r.shard] += 1
+    assert len(rows) == 1600 and set(full.values()) == {100}
+    assert all(len(held[f"text {k}"]) == 1 for k, n in enumerate(sizes) if n <= 100)
+
+
+def test_propagation_swaps_where_no_shard_has_room(spark):
+    given = sharding._grants({(0, 1): 5, (1, 0): 3, (2, 0): 4}, [0, 2, 0])
+    assert given == {(0, 1): 5, (1, 0): 3, (2, 0): 2}
+    links = [(i, f"a{i // 2}") for i in range(64)] + [(i, f"b{(i + 1) % 64 // 2}") for i in range(64)]
+    got = sharding.propagate(spark.createDataFrame(links, "node long, grp string"), [16] * 4).collect()
+    assert sorted(r.node for r in got) == [*range(64)]
+    assert {s: sum(r.shard == s for r in got) for s in range(4)} == {s: 16 for s in range(4)}
+
+
 def test_decontamination_finds_what_all_windows_hold(spark, edge, empty):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
