@@ -25,8 +25,6 @@ DATE = "2000-01-01T00:00:00Z"
 REVISIT_BYTES = 1000
 # Narrow rows (numbers and file names) that are broadcast at most; beyond, the join shuffles.
 BROADCAST_ROWS = 200_000
-# A header that is longer than this is none.
-HEADER_BYTES = 64 << 10
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -72,7 +70,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
 def _header(piece: bytes) -> tuple[int, int, dict[bytes, bytes]] | None:
     """Bytes of the header with its blank line, of the content, and the fields; None if it is no header."""
-    stop = piece.find(b"\r\n\r\n", 0, HEADER_BYTES)
+    stop = piece.find(b"\r\n\r\n")
     if stop < 0:
         return None
     fields = {}

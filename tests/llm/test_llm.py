@@ -305,6 +305,14 @@ def test_warc_rejects_magic_in_payloads(spark, tmp_path):
     assert warc.read_archives(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_warc_keeps_records_with_long_urls_and_what_follows(spark, tmp_path):
+    rows = [(i, f"data:,{str(i) * 400_000}" if i % 2 else f"http://a/{i}", f"page {i}") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), str(tmp_path / "a"))
+    got = {(r.record_id, r.target_uri, bytes(r.payload).decode()) for r in warc.read_archives(spark, str(tmp_path / "a")).collect()}
+    assert got == {(f"<urn:page:{i}>", url, html) for i, url, html in rows}
+
+
 def test_languages(spark, empty):
     got = QUERIES["op2_langid"](spark, SF)
     assert got.count() == 50 and got.where("lang = declared").count() >= 48
