@@ -73,7 +73,8 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-# Trained scores, rolling hashes and merges are beyond SQL; tests/llm compares every stage with brute force.
+# Trained scores, rolling hashes and merges are beyond SQL. tests/llm compares near duplicates with brute force here and
+# repeated passages, decontamination and tokens by their operators' own tests; the quality stage is only run.
 ORACLE_SQL = None
 
 
