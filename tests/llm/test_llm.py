@@ -365,5 +365,5 @@ def test_pipeline_stages(spark, edge):
 
 
 def test_planted_queries_are_registered():
-    assert {re.match(r"op(\d+)_", q)[1] for q in QUERIES} == {str(i) for i in range(1, 11)}
+    assert {re.match(r"op(\d+)_", q)[1] for q in QUERIES} == {str(i) for i in range(1, 14)}
     assert [n for n, _ in corpus_pipeline.STAGES] and F
