@@ -16,11 +16,19 @@ from ledgerlens.scratch import durable
 BROADCAST_IDS = 1_000_000
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that `docs` does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def _without(docs: DataFrame, key, ids: DataFrame) -> DataFrame:
     """The rows of `docs` whose key is not among `ids` (key)."""
     ids = durable(ids.distinct())
     few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.withColumn("__key", key).join(few.withColumnRenamed("key", "__key"), "__key", "left_anti").select(*docs.columns)
+    own = _unused(docs, "__key")
+    return docs.withColumn(own, key).join(few.withColumnRenamed("key", own), own, "left_anti").select(*docs.columns)
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +44,9 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = _without(docs, key, found.where("doc_id <> component_id").select(F.col("doc_id").alias("key")))
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
         return left
-    repeated = left.withColumns({"__key": key, "__mark": F.xxhash64("text")})
-    return repeated.dropDuplicates(["__key", "__mark"]).select(*docs.columns)
+    own, mark = _unused(docs, "__key"), _unused(docs, "__mark")
+    repeated = left.withColumns({own: key, mark: F.xxhash64("text")})
+    return repeated.dropDuplicates([own, mark]).select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
