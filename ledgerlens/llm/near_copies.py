@@ -10,8 +10,11 @@ bits, the keys of a chunk that lets a similarity of 0.8 pass let a large share o
 
 Sets of a key are not paired with one another. In rounds, each is paired with one set of the key's largest component,
 in the first round with the one whose keys are shared most, and pairs that full sets confirm are contracted.
-When rounds find little more, the pairs of different components are formed and confirmed, so no link is lost; not those
-that cannot be similar, as one of them has too few shingles that any other set left has as well.
+When rounds find little more, the pairs of different components that share a key are confirmed, so no link is lost.
+Shingles that few of the sets left have are rare. Two sets have at most as many shingles in common as they share rare ones
+plus the smaller number of their other ones. So pairs are formed where rare shingles meet, a few per shingle, and
+without any only among sets that the bound lets link even so. These are compared by parity bits: each shingle flips one
+of PARITY_WORDS * 64 bits of its set, so two sets differ in as many shingles at least as in bits.
 """
 
 from __future__ import annotations
@@ -43,6 +46,10 @@ PAIRS_PER_SET = 2
 # Rounds end when there are so few open pairs for every row of a shared key, or so few links for every pair that is tried.
 OPEN_PER_ROW = 2
 LINKED_SHARE = 0.05
+# Sets that a rare shingle has at most: pairs are formed among so many.
+RARE_SETS = 10
+# Words of 64 parity bits that a set has.
+PARITY_WORDS = 8
 # Keys (8 bytes each) and sets that are broadcast at most; beyond, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -205,32 +212,63 @@ def _enough(able, sizes, percent: int):
     return (100 + percent) * able >= percent * sizes
 
 
-def _able(held: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """`held` with `able`, the shingles of each set that another one left has; without rows that are too unlike all."""
-    left = durable(held.select("set_id").distinct())
-    seen = whole.join(_few(left), "set_id").select("set_id", F.explode("shingles").alias("shingle"))
-    alone = (
-        seen.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.first("set_id").alias("set_id")).where("k = 1")
-        .groupBy("set_id").agg(F.count(F.lit(1)).alias("alone"))
-    )
-    rows = held.join(_few(durable(alone)), "set_id", "left").withColumn("able", F.col("n") - F.coalesce("alone", F.lit(0)))
-    return rows.where(_enough(F.col("able"), F.col("n") + F.col("least"), percent)).drop("alone")
+def _parities(whole: DataFrame) -> DataFrame:
+    """(set_id, bits): for each parity bit, whether an odd number of shingles fall on it."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 64 * PARITY_WORDS
+        for whole_batch in batches:
+            for at in range(0, whole_batch.num_rows, 1000):
+                batch = whole_batch.slice(at, 1000)
+                shingles = batch.column(1)
+                owner = np.repeat(np.arange(batch.num_rows), np.diff(shingles.offsets.to_numpy()))
+                bit = (shingles.flatten().to_numpy().view(np.uint64) % np.uint64(n)).astype(np.int64)
+                odd = np.bincount(owner * n + bit, minlength=batch.num_rows * n) & 1
+                words = pa.array(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                offsets = pa.array(np.arange(0, len(words) + 1, PARITY_WORDS, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.ListArray.from_arrays(offsets, words)], names=["set_id", "bits"]
+                )
 
-def _open(held: DataFrame, percent: int) -> DataFrame:
+    return whole.select("set_id", "shingles").mapInArrow(run, "set_id bigint, bits array<bigint>")
+
+
+def _open(held: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     """All pairs of sets that share a key, lie in different components and may be similar enough."""
-    held = durable(held.drop("least"))
-    rows = held.join(_by_key(held, F.lit(0)).select("key", F.col("leader.comp").alias("major")), "key")
+    left = durable(held.groupBy("set_id").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.collect_list("key").alias("keys")))
+    seen = whole.join(_few(left.select("set_id")), "set_id").select("set_id", F.explode("shingles").alias("shingle"))
+    few = seen.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") <= RARE_SETS)
+    rare = durable(seen.join(few, "shingle"))
+    counted = rare.groupBy("set_id").agg(F.count(F.lit(1)).alias("rare"))
+    sets = durable(left.join(counted, "set_id", "left").withColumn("able", F.col("n") - F.coalesce("rare", F.lit(0))).drop("rare"))
+    meet = rare.where("k > 1").select("shingle", "set_id")
+    x, y = meet.withColumnRenamed("set_id", "x"), meet.withColumnRenamed("set_id", "y")
+    met = x.join(y, "shingle").where("x < y").groupBy("x", "y").agg(F.count(F.lit(1)).alias("common"))
+    of = lambda c: sets.select(F.col("set_id").alias(c), *[F.col(v).alias(f"{v}_{c}") for v in ("n", "able", "comp", "keys")])
+    sizes, able = F.col("n_x") + F.col("n_y"), F.least("able_x", "able_y")
+    via_rare = (
+        met.join(of("x"), "x").join(of("y"), "y")
+        .where((F.col("comp_x") != F.col("comp_y")) & _near_size("n_x", "n_y", percent))
+        .where(_enough(able + F.col("common"), sizes, percent) & F.arrays_overlap("keys_x", "keys_y"))
+        .select("x", "y")
+    )
+    rows = held.select("key", "set_id", "least").join(_few(sets.select("set_id", "n", "able", "comp")), "set_id")
+    rows = durable(rows.where(_enough(F.col("able"), F.col("n") + F.col("least"), percent)).drop("least"))
+    bits = durable(_parities(whole.join(_few(durable(rows.select("set_id").distinct())), "set_id")))
+    rows = durable(rows.join(bits, "set_id"))
+    rows = rows.join(_by_key(rows, F.lit(0)).select("key", F.col("leader.comp").alias("major")), "key")
     a, b = rows.where("comp <> major").alias("a"), rows.alias("b")
+    differ = sum((F.bit_count(F.col("a.bits")[i].bitwiseXOR(F.col("b.bits")[i])) for i in range(PARITY_WORDS)), F.lit(0))
     on = (
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.comp") != F.col("b.comp"))
         & ((F.col("b.comp") == F.col("b.major")) | (F.col("a.set_id") < F.col("b.set_id")))
         & _near_size("a.n", "b.n", percent)
         & _enough(F.least("a.able", "b.able"), F.col("a.n") + F.col("b.n"), percent)
+        & ((100 + percent) * differ <= (100 - percent) * (F.col("a.n") + F.col("b.n")))
     )
-    x, y = F.least("a.set_id", "b.set_id"), F.greatest("a.set_id", "b.set_id")
-    return a.join(b, on).select(x.alias("x"), y.alias("y")).distinct()
+    direct = a.join(b, on).select(F.least("a.set_id", "b.set_id").alias("x"), F.greatest("a.set_id", "b.set_id").alias("y"))
+    return via_rare.unionByName(direct).distinct()
 
 
 def set_links(docs: DataFrame, sets: DataFrame, text_col: str = "text", words: int = SHINGLE_WORDS,
@@ -255,7 +293,7 @@ def set_links(docs: DataFrame, sets: DataFrame, text_col: str = "text", words: i
             F.coalesce(F.sum((F.col("sets") * F.col("sets") - F.col("inside")).cast("double") / 2), F.lit(0.0)),
         ).first()
         if little or (rounds and pairs <= OPEN_PER_ROW * rows):
-            more = confirmed(_open(_able(held, whole, percent), percent), whole, percent)
+            more = confirmed(_open(held, whole, percent), whole, percent)
             return links.unionByName(more)
         tried = durable(_led(held, by_key, percent))
         found = confirmed(tried, whole, percent)
