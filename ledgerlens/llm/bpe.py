@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 SHORT_WORD = 64
-CACHED_WORDS = 400_000
+# Bytes that remembered words and their ids may take in a worker, and what one takes besides its characters and ids.
+CACHED_BYTES = 32_000_000
+CACHED_WORD_BYTES = 300
 CACHED_WORD_LENGTH = 40
 NO_RANK = 1 << 60
 
@@ -67,6 +69,7 @@ class Vocabulary:
         self.space = regex.compile(r" (?=\S)")
         self.cache: dict[str, tuple[int, ...]] = {}
         self.after_space: dict[str, tuple[int, ...]] = {}
+        self.cached_bytes = 0
 
     def merge_word(self, word: bytes) -> list[int]:
         bounds = self._scan(word) if len(word) <= SHORT_WORD else self._heap(word)
@@ -114,6 +117,19 @@ class Vocabulary:
             bounds.append(end[bounds[-1]])
         return bounds
 
+    def forget(self) -> None:
+        """Give up all remembered words."""
+        self.cache.clear()
+        self.after_space.clear()
+        self.cached_bytes = 0
+
+    def _keep(self, cache: dict[str, tuple[int, ...]], word: str, ids: tuple[int, ...]) -> None:
+        if len(word) <= CACHED_WORD_LENGTH:
+            self.cached_bytes += CACHED_WORD_BYTES + 4 * len(word) + 8 * len(ids)
+            if self.cached_bytes > CACHED_BYTES:
+                self.forget()
+            cache[word] = ids
+
     def _piece(self, piece: str) -> tuple[int, ...]:
         """Ids of a piece of text that the pattern would not join to its neighbours."""
         out: list[int] = []
@@ -121,7 +137,7 @@ class Vocabulary:
             ids = self.cache.get(word)
             if ids is None:
                 ids = tuple(self.merge_word(word.encode("utf-8", "surrogatepass")))
-                _keep(self.cache, word, ids)
+                self._keep(self.cache, word, ids)
             out += ids
         return tuple(out)
 
@@ -135,7 +151,7 @@ class Vocabulary:
             while True:
                 at = found.index(None, at + 1)
                 found[at] = ids = self._piece(" " + pieces[at])
-                _keep(self.after_space, pieces[at], ids)
+                self._keep(self.after_space, pieces[at], ids)
         except ValueError:
             return found
 
@@ -155,13 +171,6 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def _keep(cache: dict[str, tuple[int, ...]], word: str, ids: tuple[int, ...]) -> None:
-    if len(word) <= CACHED_WORD_LENGTH:
-        if len(cache) >= CACHED_WORDS:
-            cache.clear()
-        cache[word] = ids
-
-
 @lru_cache(maxsize=2)
 def _vocabulary(path: str) -> Vocabulary:
     with open(path, encoding="utf-8") as file:
@@ -221,6 +230,13 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = _vocabulary(SparkFiles.get(file))
+        try:
+            yield from encoded(v, batches)
+        finally:  # the worker goes on to other work
+            v.forget()
+            pa.default_memory_pool().release_unused()
+
+    def encoded(v: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             for a, b in _in_parts(whole):

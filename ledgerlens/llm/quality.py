@@ -75,6 +75,7 @@ def text_features(
             x = pa.FixedSizeListArray.from_arrays(pa.array(np.array(rows, np.float64).reshape(-1)), len(FEATURES))
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, x.cast(pa.list_(pa.float64()))], names=[*keep, out])
+        pa.default_memory_pool().release_unused()
 
     kept_types = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
     return source.mapInArrow(run, ", ".join([*kept_types, f"{out} array<double>"]))
@@ -165,8 +166,11 @@ def fit_quality(x: DataFrame, labels: DataFrame, bound: int = LABELLED_ROWS) ->
 def keep_good(docs: DataFrame, labels: DataFrame, bound: int = LABELLED_ROWS) -> DataFrame:
     """The rows of `docs` whose score is at the threshold or above, all columns; the text is not shuffled."""
     ranker = fit_quality(durable(text_features(docs.select("doc_id", "text"))), labels, bound)
-    scored = text_features(docs, keep=tuple(docs.columns), out="__x")
-    return scored.where(ranker.score(F.col("__x")) >= AT_THRESHOLD).select(*docs.columns)
+    x = "__x"
+    while x in docs.columns:
+        x += "_"
+    scored = text_features(docs, keep=tuple(docs.columns), out=x)
+    return scored.where(ranker.score(F.col(x)) >= AT_THRESHOLD).select(*docs.columns)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, bound: int = LABELLED_ROWS) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 SHINGLE_WORDS = 5
 # Bytes of text looked at together; a longer text is taken alone, in pieces cut at separators.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True

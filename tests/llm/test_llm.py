@@ -145,6 +145,20 @@ def test_bpe_long_and_short_words_take_the_same_merges():
         assert v._scan(word) == v._heap(word)
 
 
+def test_bpe_remembered_words_are_bounded_in_bytes(monkeypatch):
+    with open(vocabulary_path(), encoding="utf-8") as file:
+        v = bpe.Vocabulary(file.read())
+    text = " ".join(f"word{i}" for i in range(2000))
+    ids = v.encode(text)
+    assert len(v.cache) + len(v.after_space) >= 3999
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 20_000)
+    v.forget()
+    assert v.encode(text) == ids and v.decode(ids) == text
+    assert len(v.cache) + len(v.after_space) <= 20_000 // bpe.CACHED_WORD_BYTES
+    v.forget()
+    assert not v.cache and not v.after_space and v.cached_bytes == 0
+
+
 def test_fingerprints(spark, edge, empty):
     got = {r.doc_id: r for r in QUERIES["op5_fingerprints"](spark, SF).collect()}
     rows = sorted(table(spark.read.parquet(f"{SF}/documents.parquet")), reverse=True)
@@ -358,6 +372,12 @@ def test_pipeline_stages(spark, edge):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in source.collect()} - bad
     out = corpus_pipeline.run(spark, SF)
     assert 100 < out.count() < 200 and out.where("not round_trip").count() == 0
+    # Working columns of the stages are a table's own columns as well, and come back as they were.
+    named = source.withColumns({c: F.lit("mine") for c in ("__key", "__mark", "__x", "__text", "__0")})
+    for stage in (corpus_pipeline.good_documents, corpus_pipeline.one_of_each, corpus_pipeline.without_repeats, corpus_pipeline.without_benchmark):
+        kept = stage(spark, named, SF)
+        assert kept.columns == named.columns
+        assert [tuple(r) for r in kept.select("__key", "__mark", "__x", "__text", "__0").distinct().collect()] == [("mine",) * 5]
     shown = source.limit(0).select(*edge.columns[:5])
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, shown, SF).count() == 0
