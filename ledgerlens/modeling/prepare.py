@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions import hash_bucket
+from ledgerlens.modeling.dictionary import JoinedIndex
+from ledgerlens.modeling.median import MedianFill
 from ledgerlens.schema import ID, LABEL
 
 WEIGHT = "class_weight"
@@ -80,20 +82,21 @@ def class_weights(
 
 def feature_stages(
     categorical: list[str], numeric: list[str], booleans: list[str] | None = None, encoding: str = "one_hot",
-    median_error: float = 0.001,
+    median_error: float | None = None,
 ) -> list[Estimator | Transformer]:
     """Encode text, fill numeric gaps with the median, assemble one vector.
 
-    The multi-column estimators fit all columns in one pass each. Encoded text comes first in the vector,
-    then numbers. `booleans` names those numeric columns that hold yes or no. The rank of a median is off by
-    `median_error` of the rows at most.
+    The multi-column estimators fit all columns together. Encoded text comes first in the vector,
+    then numbers. `booleans` names those numeric columns that hold yes or no. Medians are exact, in a few passes
+    (`exact_medians`); with `median_error` one pass gives a value whose rank is off by that share of the rows at most.
 
     `encoding="one_hot"` gives each value of a text column a slot, and unknown or missing text another;
-    its dictionary passes through the driver. `"hashed"` spreads all text over HASH_SLOTS shared slots
-    without a dictionary, whatever the number of values; missing text is no value there.
+    its dictionary passes through the driver. `"joined"` gives the same slots from a dictionary that is ranked and
+    joined as a table, for text with very many values; such a model is not saved with its pipeline. `"hashed"` spreads
+    all text over HASH_SLOTS shared slots without a dictionary; missing text is no value there.
     """
-    if encoding not in ("one_hot", "hashed"):
-        raise ValueError(f"encoding must be 'one_hot' or 'hashed', not {encoding!r}")
+    if encoding not in ("one_hot", "joined", "hashed"):
+        raise ValueError(f"encoding must be 'one_hot', 'joined' or 'hashed', not {encoding!r}")
     stages: list[Estimator | Transformer] = []
     encoded = [f"{c}_encoded" for c in categorical]
     filled = [f"{c}{FILLED}" for c in numeric]
@@ -102,7 +105,10 @@ def feature_stages(
         stages.append(FeatureHasher(inputCols=categorical, outputCol=encoded[0], numFeatures=HASH_SLOTS))
     elif categorical:
         indexed = [f"{c}_index" for c in categorical]
-        stages.append(StringIndexer(inputCols=categorical, outputCols=indexed, handleInvalid="keep"))
+        if encoding == "joined":
+            stages.append(JoinedIndex(categorical, indexed))
+        else:
+            stages.append(StringIndexer(inputCols=categorical, outputCols=indexed, handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"))
     yes_no = set(booleans or ()) & set(numeric)
     if yes_no:
@@ -110,6 +116,9 @@ def feature_stages(
         stages.append(SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"))
     if numeric:
         inputs = [f"{c}_number" if c in yes_no else c for c in numeric]
-        stages.append(Imputer(inputCols=inputs, outputCols=filled, strategy="median", relativeError=median_error))
+        if median_error is None:
+            stages.append(MedianFill(inputs, filled))
+        else:
+            stages.append(Imputer(inputCols=inputs, outputCols=filled, strategy="median", relativeError=median_error))
     stages.append(VectorAssembler(inputCols=encoded + filled, outputCol=FEATURES, handleInvalid="error"))
     return stages

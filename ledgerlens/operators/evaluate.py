@@ -2,13 +2,16 @@
 
 Inputs are a 0/1 label column, a 0/1 prediction column and a numeric score; they need not come from a
 model. Counts and rates are lazy. Curves and areas need the scores in order: they first run a job that
-reduces the table to one row per distinct score, and are lazy from there on.
+reduces the table to one row per distinct score, and are lazy from there on. With `bins` they keep no scores at
+all: a quantile sketch cuts them into bins of about equal size, rows are counted per bin, and areas come with
+a proven bound on how far the exact ones are away.
 """
 
 from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,17 +123,27 @@ def sample_predictions(
     return ordered.limit(n).select(label, PREDICTION, "probability", *features[:3])
 
 
-# Distinct scores in one range, which a single task puts in order.
-RANGE_SCORES = 250_000
+# Distinct scores that a single task puts in order, about; ranges of more than four times as many are cut again.
+RANGE_SCORES = 500_000
 
 
-def _ranged(groups: DataFrame, n: int, range_scores: int) -> DataFrame:
-    """The `n` distinct scores cut into ranges a task can hold, at least two, range 0 the lowest.
+def _ranged(groups: DataFrame, range_scores: int) -> DataFrame:
+    """Distinct scores cut into ranges that a task can hold, range 0 the lowest.
 
-    Bounds come from a sample, so the rows are written out with the range they fell in.
+    Spark chooses how many by their size. Bounds come from a sample, so the rows are written out with the range they
+    fell in: once, and a second time only where a range turns out to be too large.
     """
-    ranges = max(2, math.ceil(n / range_scores))
-    return durable(groups.repartitionByRange(ranges, "threshold").withColumn("range", F.spark_partition_id()))
+    cut = lambda rows, *n: durable(
+        rows.repartitionByRange(*n, "threshold").withColumn("range", F.spark_partition_id())
+    )
+    ranged = cut(groups)
+    sizes = ranged.groupBy("range").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("threshold").isNull() | F.isnan("threshold")).alias("unusable")
+    )
+    n, most, unusable = sizes.agg(F.sum("n"), F.max("n"), F.sum("unusable")).first()
+    if unusable:
+        raise ValueError("scores must be numbers, without nulls")
+    return cut(ranged.drop("range"), math.ceil(n / range_scores)) if n and most > 4 * range_scores else ranged
 
 
 def _running(groups: DataFrame) -> DataFrame:
@@ -174,31 +187,71 @@ def _cumulated(
     """Distinct scores with `tp_at`, `fp_at` (label counts at this score or above) and class totals.
 
     The table is read once: its counts per distinct score, combined within tasks before the shuffle,
-    are written out, and the later steps read only them. Their number says how many ranges there are.
+    are written out in ranges, and the later steps read only them.
     """
     value = (F.col(score) if isinstance(score, str) else score).cast("double")
-    groups = durable(
-        df.groupBy(value.alias("threshold")).agg(
-            F.count_if(F.col(label) == 1).alias("pos"),
-            F.count_if(F.col(label) == 0).alias("neg"),
-            *[cell.alias(name) for name, cell in (extra or {}).items()],
-        )
-    )
-    facts = groups.agg(
-        F.count(F.lit(1)).alias("n"),
+    groups = df.groupBy(value.alias("threshold")).agg(*_counts(label, extra))
+    return _running(_ranged(groups, range_scores))
+
+
+def _counts(label: str, extra: dict[str, Column] | None) -> list[Column]:
+    return [
+        F.count_if(F.col(label) == 1).alias("pos"),
+        F.count_if(F.col(label) == 0).alias("neg"),
+        *[cell.alias(name) for name, cell in (extra or {}).items()],
+    ]
+
+
+def _binned(
+    df: DataFrame, label: str, score: str | Column, bins: int, extra: dict[str, Column] | None = None
+) -> DataFrame:
+    """As `_cumulated`, with a row for each of about `bins` ranges of scores; `threshold` is the lowest score in it.
+
+    The first pass keeps a sketch of the scores' quantiles, the second counts rows per bin, which combine within tasks.
+    The counts are exact, so every row is a point of the exact curve; only the points between are left out.
+    """
+    if bins < 2:
+        raise ValueError("bins must be at least 2")
+    value = (F.col(score) if isinstance(score, str) else score).cast("double")
+    scores = df.select(value.alias("threshold"))
+    sketch = F.kll_sketch_agg_double("threshold", min(65_535, max(200, 8 * bins)))
+    ranks = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    facts = scores.agg(
+        sketch.alias("sketch"),
         F.count_if(F.col("threshold").isNull() | F.isnan("threshold")).alias("unusable"),
-    ).first()
-    if facts["unusable"]:
+        F.count("threshold").alias("n"),
+    )
+    cuts = F.when(F.col("n") > F.col("unusable"), F.kll_sketch_get_quantile_double("sketch", ranks))
+    found, unusable = facts.select(cuts, "unusable").first()
+    if unusable:
         raise ValueError("scores must be numbers, without nulls")
-    return _running(_ranged(groups, facts["n"], range_scores))
+    inner = sorted({x for x in found or [0.0] if math.isfinite(x)}) or [0.0]
+    column = "__threshold"
+    while column in df.columns:
+        column += "_"
+    bucket = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol=column, outputCol=f"{column}bin")
+    rows = bucket.transform(df.withColumn(column, value))
+    groups = rows.groupBy(F.col(f"{column}bin").alias("bin")).agg(F.min(column).alias("threshold"), *_counts(label, extra))
+    return _running(durable(groups.drop("bin")).withColumn("range", F.lit(0)))
+
+
+def _points(df: DataFrame, label: str, score, bins: int | None, extra: dict[str, Column] | None = None) -> DataFrame:
+    return _cumulated(df, label, score, extra) if bins is None else _binned(df, label, score, bins, extra)
 
 
-def roc_curve(df: DataFrame, label: str = LABEL, score: str | Column = "score", origin: bool = True) -> DataFrame:
+def roc_curve(
+    df: DataFrame,
+    label: str = LABEL,
+    score: str | Column = "score",
+    origin: bool = True,
+    bins: int | None = None,
+) -> DataFrame:
     """threshold, tpr, fpr per distinct score, plus the point (0, 0) at threshold infinity.
 
-    All points are kept, also those on a straight stretch of the curve. Null or NaN scores are an error.
+    All points are kept, also those on a straight stretch of the curve; `bins` keeps about so many of them, at scores
+    that part the rows evenly. Null or NaN scores are an error.
     """
-    points = _cumulated(df, label, score).select(
+    points = _points(df, label, score, bins).select(
         "threshold",
         F.try_divide("tp_at", "pos_all").alias("tpr"),
         F.try_divide("fp_at", "neg_all").alias("fpr"),
@@ -227,22 +280,58 @@ def _areas() -> dict[str, Column]:
     }
 
 
-def area_under_roc(df: DataFrame, label: str = LABEL, score: str | Column = "score") -> DataFrame:
-    """One row: the exact area under the ROC curve; null when a class is absent."""
-    return _cumulated(df, label, score).agg(_areas()["auc"].alias("auc"))
+def _bounds() -> dict[str, Column]:
+    """Aggregates over `_binned`: how far the exact areas can be from those of the bins.
+
+    Wherever the curve runs between the two ends of a bin, the area below changes by at most half of the bin's
+    rectangle for ROC. For precision-recall the precision within a bin lies between those of its two outer corners.
+    """
+    pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp_at", "fp_at"))
+    lowest = F.coalesce(F.try_divide(tp - pos, tp - pos + fp), F.lit(1.0))
+    highest = F.coalesce(F.try_divide(tp, tp + fp - neg), F.lit(0.0))
+    all_pos, all_neg = F.max("pos_all"), F.max("neg_all")
+    return {
+        "auc_within": F.try_divide(F.sum(pos * neg / 2), all_pos.cast("double") * all_neg),
+        "pr_auc_within": F.try_divide(F.sum(F.when(pos > 0, pos * F.abs(highest - lowest)).otherwise(0.0)), all_pos),
+    }
+
 
+def _area(df: DataFrame, name: str, label: str, score: str | Column, bins: int | None) -> DataFrame:
+    wanted = {name: _areas()[name]} | ({} if bins is None else {f"{name}_within": _bounds()[f"{name}_within"]})
+    return _points(df, label, score, bins).agg(*[value.alias(key) for key, value in wanted.items()])
 
-def area_under_pr(df: DataFrame, label: str = LABEL, score: str | Column = "score") -> DataFrame:
-    """One row: the exact area under the precision-recall curve; null without positives."""
-    return _cumulated(df, label, score).agg(_areas()["pr_auc"].alias("pr_auc"))
+
+def area_under_roc(
+    df: DataFrame, label: str = LABEL, score: str | Column = "score", bins: int | None = None
+) -> DataFrame:
+    """One row: the exact area under the ROC curve; null when a class is absent.
+
+    With `bins` the area from about so many points, and `auc_within`: the exact area is no further away.
+    """
+    return _area(df, "auc", label, score, bins)
+
+
+def area_under_pr(
+    df: DataFrame, label: str = LABEL, score: str | Column = "score", bins: int | None = None
+) -> DataFrame:
+    """One row: the exact area under the precision-recall curve; null without positives.
+
+    With `bins` the area from about so many points, and `pr_auc_within`: the exact area is no further away.
+    """
+    return _area(df, "pr_auc", label, score, bins)
 
 
 def evaluate(
-    df: DataFrame, label: str = LABEL, score: str | Column = "score", prediction: str = PREDICTION
+    df: DataFrame,
+    label: str = LABEL,
+    score: str | Column = "score",
+    prediction: str = PREDICTION,
+    bins: int | None = None,
 ) -> DataFrame:
     """One row with both areas, precision, recall, F1, accuracy and the four counts.
 
-    Everything follows from one grouping of the table by score.
+    Everything follows from one grouping of the table by score, or with `bins` by about so many ranges of scores;
+    rates and counts stay exact, and the areas get `auc_within` and `pr_auc_within`.
     """
     cells = _cells(label, prediction)
     extra = {
@@ -250,13 +339,13 @@ def evaluate(
         "hits": F.count_if(F.col(prediction) == F.col(label)),
         "n": F.count(F.lit(1)),
     }
-    summed = _cumulated(df, label, score, extra).agg(
-        *[area.alias(name) for name, area in _areas().items()],
+    areas = _areas() | ({} if bins is None else _bounds())
+    summed = _points(df, label, score, bins, extra).agg(
+        *[area.alias(name) for name, area in areas.items()],
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in extra],
     )
     return summed.select(
-        "auc",
-        "pr_auc",
+        *areas,
         *[value.alias(name) for name, value in _rates(F.col("tp"), F.col("fp"), F.col("fn")).items()],
         F.try_divide("hits", "n").alias("accuracy"),
         *cells,

@@ -213,28 +213,38 @@ def _edges(number: Column, low: Column, high: Column, bins: int) -> tuple[Column
     return start + number * width, F.when(number == bins - 1, end).otherwise(start + (number + 1) * width)
 
 
-def histogram(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
+def _counts_of_bins() -> Column:
+    """Aggregate over (bin, n) rows, of which there are at most as many as bins: a map from one to the other."""
+    return F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n"))))
+
+
+def histogram(
+    df: DataFrame, column: str, bins: int = BINS, span: tuple[float, float] | None = None
+) -> DataFrame:
     """bin, low, high, n of every equal-width bin between the smallest and the largest value, also of
     empty bins. Nulls, NaN and infinities are left out; without other values there are no rows.
 
     Two passes over one column: the range is an uncorrelated scalar subquery, so the second pass sees
-    it as a constant. The bins are as many rows as asked for.
+    it as a constant. Counts combine within tasks, and one row of at most `bins` counts is laid out as rows. A known
+    `span` (smallest and largest value, such as `parquet_ranges` gives) spares the first pass.
     """
-    value, number = F.col("value"), F.col("bin")
+    value = F.col("value")
     values = df.select(F.col(column).cast("double").alias("value")).where(_usable(value))
-    span = values.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
-    found = values.groupBy(_bin_of(value, span["low"], span["high"], bins).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    low, high = _edges(number, span["low"], span["high"], bins)
-    return (
-        df.sparkSession.range(bins)
-        .select(F.col("id").cast("int").alias("bin"))
-        .join(found, "bin", "left")
-        .select("bin", low.alias("low"), high.alias("high"), F.coalesce("n", F.lit(0)).alias("n"))
-        .where(F.col("low").isNotNull())
-        .orderBy("bin")
+    if span is None:
+        facts = values.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+        low, high = facts["low"], facts["high"]
+    else:
+        low, high = F.lit(float(span[0])), F.lit(float(span[1]))
+    counted = values.groupBy(_bin_of(value, low, high, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    rows = (
+        counted.agg(F.sum("n").alias("rows"), _counts_of_bins().alias("found"))
+        .where(F.col("rows") > 0)
+        .select("found", low.alias("first"), high.alias("last"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     )
+    number = F.col("bin")
+    low_edge, high_edge = _edges(number, F.col("first"), F.col("last"), bins)
+    n = F.coalesce(F.try_element_at("found", number), F.lit(0)).cast("bigint")
+    return rows.select("bin", low_edge.alias("low"), high_edge.alias("high"), n.alias("n"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -248,48 +258,45 @@ def profile_distribution(
     """A histogram when `column` has more than `threshold` different values, else its value counts.
 
     One result shape serves both: `kind`, `bin`, `low`, `high` (histogram, empty bins included), `value`
-    (value counts, in the column's own type), `n`. Counting the rows of each value is the only shuffle of
-    values; the choice, the range and the bins all come from it, and the choice is made while the query
+    (value counts, in the column's own type), `n`. The first pass keeps the range and a sketch of the values that is
+    exact as long as fewer are different than it holds, which is more than `threshold`. The second counts bins, or the
+    few values, inside tasks: values are never shuffled, however many there are. The choice is made while the query
     runs, not by an action beforehand.
     """
     if column not in numeric_columns(df):
         raise ValueError(f"{column} is not numeric; use value_counts")
-    counts = df.select(F.col(column).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    values = df.select(F.col(column).alias("value"))
+    family, key = _as_key(values, "value")
     number = F.col("value").cast("double")
-    facts = counts.agg(
+    sketched = key + F.lit(0.0) if family == "fraction" else key  # zero has one sign
+    facts = values.agg(
         F.struct(
-            F.count(F.lit(1)).alias("distinct"),
-            F.sum("n").alias("rows"),  # so that both uses of the counts need the same columns
+            F.theta_sketch_estimate(F.theta_sketch_agg(sketched, max(12, threshold.bit_length() + 1))).alias("different"),
+            F.coalesce(F.max(F.col("value").isNull().cast("int")), F.lit(0)).alias("null"),
             F.min(F.when(_usable(number), number)).alias("low"),
             F.max(F.when(_usable(number), number)).alias("high"),
         )
     ).scalar()
-    many = facts["distinct"] > threshold
-    binned = counts.select(
-        F.when(many & _usable(number), _bin_of(number, facts["low"], facts["high"], bins)).alias("bin"),
-        F.when(~many, F.col("value")).alias("value"),
-        F.when(~many | _usable(number), F.col("n")).alias("n"),
-    )
-    no_value = F.lit(None).cast(df.schema[column].dataType)
-    empty = df.sparkSession.range(bins).select(
-        F.col("id").cast("int").alias("bin"),
-        no_value.alias("value"),
-        F.when(many & facts["low"].isNotNull(), F.lit(0)).cast("bigint").alias("n"),
-    )
-    low, high = _edges(F.col("bin"), facts["low"], facts["high"], bins)
-    # What a result leaves out is dropped by its empty sum: a filter on the values would be pushed into
-    # the scan here but not in the subquery, and the two could no longer share one shuffle.
-    return (
-        binned.union(empty)
-        .groupBy("bin", "value")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n").isNotNull())
-        .select(
-            F.when(many, F.lit("histogram")).otherwise(F.lit("value_counts")).alias("kind"),
-            "bin",
-            low.alias("low"),
-            high.alias("high"),
-            "value",
-            "n",
+    many = facts["different"] + facts["null"] > threshold
+    counted = (
+        values.where(~many | _usable(number))
+        .groupBy(
+            F.when(many, _bin_of(number, facts["low"], facts["high"], bins)).alias("bin"),
+            F.when(~many, F.col("value")).alias("value"),
         )
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    # One row with as many cells as there are bins, or at most `threshold` values.
+    no_value = F.lit(None).cast(df.schema[column].dataType)
+    every = F.array(*[F.struct(F.lit(i).alias("bin"), no_value.alias("value"), F.lit(0).cast("bigint").alias("n")) for i in range(bins)])
+    row = counted.agg(
+        F.sum("n").alias("rows"),
+        _counts_of_bins().alias("found"),
+        F.collect_list(F.struct("bin", "value", "n")).alias("few"),
+    ).where(F.col("rows") > 0)
+    told = row.select("found", "few", many.alias("many"), facts["low"].alias("first"), facts["high"].alias("last"))
+    cells = told.select("found", "many", "first", "last", F.inline(F.when(F.col("many"), every).otherwise(F.col("few"))))
+    low, high = _edges(F.col("bin"), F.col("first"), F.col("last"), bins)
+    n = F.when(F.col("many"), F.coalesce(F.try_element_at("found", "bin"), F.lit(0))).otherwise(F.col("n"))
+    kind = F.when(F.col("many"), F.lit("histogram")).otherwise(F.lit("value_counts"))
+    return cells.select(kind.alias("kind"), "bin", low.alias("low"), high.alias("high"), "value", n.cast("bigint").alias("n"))

@@ -102,8 +102,48 @@ def time_since_previous(
     return linked.withColumn(out, gap).drop("_previous")
 
 
+def last_times(df: DataFrame, customer: str = CUSTOMER, time: str = TIME) -> DataFrame:
+    """customer, last_time: the state that a load leaves to the next; a row for each customer, null being one."""
+    return df.groupBy(customer).agg(F.max(time).alias("last_time"))
+
+
+def time_since_previous_load(
+    load: DataFrame,
+    state: DataFrame | None = None,
+    out: str = "time_since_last",
+    customer: str = CUSTOMER,
+    time: str = TIME,
+    tie: str = ID,
+    heavy_rows: int = HEAVY_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """(`load` with hours since the customer's previous transaction, the state after it), from the state of earlier loads.
+
+    Earlier rows are not read again: what a load needs of them is the last time of each customer. Only a customer's
+    first row of the load takes it. The new state is a written table (runs a job). Loads follow one another in time: a
+    load with a row before the last time of its customer is refused, as an earlier result would have to change; rows at
+    exactly that time count as later.
+    """
+    own = durable(last_times(load, customer, time))
+    if state is not None:
+        begins = load.groupBy(customer).agg(F.min(time).alias("__first"))
+        late = begins.join(state.withColumnRenamed(customer, "__customer"), F.col(customer).eqNullSafe(F.col("__customer")))
+        if not late.where("__first < last_time").isEmpty():
+            raise ValueError("the load has rows from before the last times of the state")
+    linked = with_previous_time(load, "_previous", customer, time, tie, heavy_rows)
+    if state is None:
+        after = own
+    else:
+        known = state.select(F.col(customer).alias("_known"), F.col("last_time").alias("_carried"))
+        linked = linked.join(known, F.col(customer).eqNullSafe(F.col("_known")), "left").withColumn(
+            "_previous", F.coalesce("_previous", "_carried")
+        )
+        after = durable(state.unionByName(own).groupBy(customer).agg(F.max("last_time").alias("last_time")))
+    gap = hours_between(F.col("_previous"), F.col(time), load.schema[time].dataType)
+    return linked.withColumn(out, gap).select(*load.columns, out), after
+
+
 def attach_home(df: DataFrame, profile: DataFrame, customer: str = CUSTOMER) -> DataFrame:
-    """Left join `home_lat`, `home_long` from a table with one row per customer.
+    """Left join `home_lat`, `home_long` from a table with one row per customer; a repeated one repeats its rows.
 
     No hint is given: Spark broadcasts the profile while its size is below the broadcast threshold and
     otherwise sort-merges, where adaptive execution splits the partition of a dominant customer.

@@ -15,17 +15,20 @@ from pyspark.sql import functions as F
 
 from ledgerlens import modeling
 from ledgerlens.modeling.prepare import FEATURES, feature_stages
-from ledgerlens.operators import clean, evaluate, features, profile, reports, sequence
+from ledgerlens.operators import clean, evaluate, features, merging, profile, reports, sequence
 from ledgerlens.plans.inputs import profiles, transactions
 from ledgerlens.schema import PROFILE_SCHEMA
-from ledgerlens.scratch import scratch_path
+from ledgerlens.scratch import durable, scratch_path
 from ledgerlens.sources import (
     export_predictions,
     export_result,
     flatten_predictions,
+    parquet_ranges,
     read_csv,
+    read_days,
     read_parquet,
     register,
+    write_by_day,
     write_csv,
 )
 
@@ -79,6 +82,27 @@ def csv_inferred(spark, sf_dir):
     return read_csv(spark, path, infer=True)
 
 
+@query("S1_csv_inferred_transactions")
+def csv_inferred_transactions(spark, sf_dir):
+    """All columns of the transactions with inferred types; times are instants, shown in the session's zone."""
+    path = scratch_path(spark, "transactions-csv")
+    write_csv(transactions(spark, sf_dir), path)
+    inferred = read_csv(spark, path, infer=True)
+    return inferred.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+# Days within the given events.
+FIRST_DAY, LAST_DAY = "2024-01-09", "2024-01-12"
+
+
+@query("S1_S4_days")
+def days(spark, sf_dir):
+    """Some days of a table that is laid out by day."""
+    path = scratch_path(spark, "days")
+    write_by_day(transactions(spark, sf_dir), path)
+    return read_days(spark, path, FIRST_DAY, LAST_DAY)
+
+
 @query("S1_parquet_scan")
 def parquet_scan(spark, sf_dir):
     return (
@@ -241,6 +265,19 @@ def histogram(spark, sf_dir):
     return profile.histogram(transactions(spark, sf_dir), "amount")
 
 
+@query("P1_P8_ranges_from_footers")
+def ranges_from_footers(spark, sf_dir):
+    return parquet_ranges(spark, f"{sf_dir}/events.parquet", "event_id", "user_id", "value")
+
+
+@query("P9_histogram_known_range")
+def histogram_known_range(spark, sf_dir):
+    """P9 in one pass over the rows: the range comes from the file footers."""
+    path = f"{sf_dir}/events.parquet"
+    known = parquet_ranges(spark, path, "value").first()
+    return profile.histogram(read_parquet(spark, path), "value", span=(known["min"], known["max"]))
+
+
 @query("P10_value_counts")
 def value_counts(spark, sf_dir):
     return profile.value_counts(transactions(spark, sf_dir), "device_type")
@@ -261,6 +298,18 @@ def column_profile(spark, sf_dir):
     return _shown(profile.column_profile(transactions(spark, sf_dir)), "mean", "stddev")
 
 
+@query("P12_profile_merged_from_days")
+def profile_merged(spark, sf_dir):
+    """Profiles of single days, written out and merged; `near`: the distinct count is within three standard errors."""
+    rows = transactions(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
+    columns = profile.numeric_columns(rows)
+    kept = durable(merging.partial_profile(rows, columns, by="day"))
+    merged = merging.merge_profiles(kept).withColumnRenamed("distinct", "sketch")
+    exact = profile.distinct_count(rows, *columns)
+    near = F.abs(F.col("sketch") - F.col("distinct")) <= 3 * merging.ERROR * F.col("distinct")
+    return _shown(merged.join(exact, "column").withColumn("near", near).drop("sketch"), "mean", "stddev")
+
+
 # ---- reports
 
 
@@ -381,6 +430,17 @@ def time_since_previous_hot(spark, sf_dir):
     )
 
 
+@query("R1_time_since_previous_loads")
+def time_since_previous_loads(spark, sf_dir):
+    """R1 over four loads, a week or so each, that see the ones before as a table of last times only."""
+    rows, state, parts = transactions(spark, sf_dir).drop("time_since_last"), None, []
+    week = F.least(F.floor((F.dayofmonth("timestamp") - 1) / 7), F.lit(3))
+    for i in range(4):
+        found, state = sequence.time_since_previous_load(rows.where(week == i), state)
+        parts.append(found.select("transaction_id", "customer_id", "time_since_last"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("R2_attach_home")
 def attach_home(spark, sf_dir):
     return sequence.attach_home(transactions(spark, sf_dir), profiles(spark, sf_dir)).select(
@@ -462,6 +522,30 @@ def one_hot(spark, sf_dir):
     )
 
 
+@query("M4_joined_index")
+def joined_index(spark, sf_dir):
+    """Indexes from dictionaries that never reach the driver, one of them of customers."""
+    rows = transactions(spark, sf_dir)
+    for c in ("device_type", "merchant_category", "customer_id"):
+        rows = modeling.with_index(rows, c, modeling.ranked_values(rows, c), f"{c}_index")
+    return rows.select("transaction_id", "device_type_index", "merchant_category_index", "customer_id_index")
+
+
+@query("M5_joined_one_hot")
+def joined_one_hot(spark, sf_dir):
+    return _staged(spark, sf_dir, ["device_type"], [], encoding="joined").select(
+        "transaction_id", *_slots("device_type_encoded", 3)
+    )
+
+
+@query("M6_medians")
+def medians(spark, sf_dir):
+    rows = features.build_features(transactions(spark, sf_dir))
+    found = modeling.exact_medians(rows, ["amount", "time_since_last", "txn_velocity", "distance_from_home"])
+    cells = [F.struct(F.lit(c).alias("column"), F.lit(v).cast("double").alias("median")) for c, v in found.items()]
+    return spark.range(1).select(F.inline(F.array(*cells)))
+
+
 @query("M6_M7_feature_vector")
 def feature_vector(spark, sf_dir):
     return _staged(spark, sf_dir, ["device_type"], ["amount", "hour_of_day"]).select(
@@ -471,8 +555,8 @@ def feature_vector(spark, sf_dir):
 
 @query("M6_feature_vector_gaps")
 def feature_vector_gaps(spark, sf_dir):
-    """Gaps in the velocity take its median (the exact one up to 50,000 values)."""
-    return _staged(spark, sf_dir, [], ["amount", "txn_velocity"], median_error=1e-5).select(
+    """Gaps in the velocity take its median."""
+    return _staged(spark, sf_dir, [], ["amount", "txn_velocity"]).select(
         "transaction_id", *_slots(FEATURES, 2)
     )
 
@@ -590,6 +674,46 @@ def area_under_pr(spark, sf_dir):
     return _shown(evaluate.area_under_pr(_scored(spark, sf_dir)), "pr_auc")
 
 
+# Points that curves with bins keep.
+POINTS = 1000
+
+
+@query("E3_E4_areas_of_bins")
+def areas_of_bins(spark, sf_dir):
+    """The exact areas, and whether those of bins are as near as they say, and near enough to be of use."""
+    rows = _scored(spark, sf_dir)
+    found = evaluate.area_under_roc(rows).crossJoin(evaluate.area_under_pr(rows))  # one row each
+    for name, area in (("auc", evaluate.area_under_roc), ("pr_auc", evaluate.area_under_pr)):
+        binned = area(rows, bins=POINTS).withColumnRenamed(name, "about")
+        gap, within = F.abs(F.col("about") - F.col(name)), F.col(f"{name}_within")
+        found = found.crossJoin(binned).withColumn(f"{name}_near", (gap <= within + 1e-12) & (within < 0.05))
+        found = found.drop("about", f"{name}_within")
+    return _shown(found, "auc", "pr_auc")
+
+
+@query("E8_evaluate_bins")
+def evaluate_bins(spark, sf_dir):
+    """Rates and counts, which bins leave exact, and whether the bounds on the areas are narrow."""
+    found = evaluate.evaluate(_scored(spark, sf_dir), bins=POINTS)
+    narrow = (F.col("auc_within") < 0.05) & (F.col("pr_auc_within") < 0.05)
+    return found.withColumn("narrow", narrow).drop("auc", "pr_auc", "auc_within", "pr_auc_within")
+
+
+@query("E11_roc_curve_of_bins")
+def roc_curve_of_bins(spark, sf_dir):
+    """Whether every point is one of the exact curve, and whether there are about as many as asked for."""
+    rows = _scored(spark, sf_dir)
+    some = evaluate.roc_curve(rows, bins=POINTS, origin=False)
+    exact = evaluate.roc_curve(rows, origin=False).withColumn("exact", F.lit(True))
+    same = some.join(exact, ["threshold", "tpr", "fpr"], "left")
+    return same.agg(
+        F.every(F.coalesce("exact", F.lit(False))).alias("on_the_curve"),
+        F.count(F.lit(1)).between(POINTS // 2, POINTS + 1).alias("enough"),
+        F.max("tpr").alias("tpr"),
+        F.max("fpr").alias("fpr"),
+    )
+
+
 @query("E5_confusion")
 def confusion(spark, sf_dir):
     return evaluate.confusion(_scored(spark, sf_dir))

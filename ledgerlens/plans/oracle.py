@@ -6,7 +6,7 @@ Fits of several features have no SQL form and are left to the tests; those of on
 from __future__ import annotations
 
 from ledgerlens.operators.evaluate import FINE
-from ledgerlens.plans.catalog import AWKWARD, DECIMALS, FREE_SQL, HIGH
+from ledgerlens.plans.catalog import AWKWARD, DECIMALS, FIRST_DAY, FREE_SQL, HIGH, LAST_DAY
 from ledgerlens.plans.inputs import PROFILES_SQL, TRANSACTIONS_SQL
 from ledgerlens.schema import TRANSACTION_SCHEMA
 
@@ -129,6 +129,7 @@ def _index(column: str) -> str:
 
 DEVICE = f"d AS ({_index('device_type')})"
 MERCHANT = f"m AS ({_index('merchant_category')})"
+CUSTOMER = f"k AS ({_index('customer_id')})"
 DEVICE_JOIN = "t JOIN d ON d.device_type IS NOT DISTINCT FROM t.device_type"
 MERCHANT_JOIN = "JOIN m ON m.merchant_category IS NOT DISTINCT FROM t.merchant_category"
 DEVICE_SLOTS = ", ".join(f"CASE WHEN d.idx = {i} THEN 1.0 ELSE 0.0 END::DOUBLE AS slot_{i}" for i in range(3))
@@ -157,6 +158,10 @@ def _one_feature(decimals: int) -> str:
 ORACLE: dict[str, str] = {
     "S1_csv_round_trip": _tx("SELECT * FROM t"),
     "S1_csv_inferred": _tx("SELECT * FROM p"),
+    "S1_csv_inferred_transactions": _tx("SELECT * FROM t"),
+    "S1_S4_days": _tx(
+        f"SELECT * FROM t WHERE CAST(timestamp AS DATE) BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'"
+    ),
     "S1_parquet_scan": f"SELECT event_id, value FROM events WHERE value > {HIGH}",
     "S1_parquet_whole": "SELECT * FROM events",
     "S1_csv_awkward_text": f"SELECT event_id, {AWKWARD} AS note, ts FROM events",
@@ -203,6 +208,12 @@ ORACLE: dict[str, str] = {
     "P6_missing": _tx(_per_column(["amount", "device_type", "time_since_last"], "'{c}' AS \"column\", " + MISSING)),
     "P8_column_stats": _tx(_per_column(["amount", "time_since_last"], "'{c}' AS \"column\", " + _moments())),
     "P9_histogram": _tx("SELECT bin, low, high, n FROM e", _histogram("amount")),
+    "P1_P8_ranges_from_footers": " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", COUNT(*) AS rows, CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max "
+        "FROM events"
+        for c in ("event_id", "user_id", "value")
+    ),
+    "P9_histogram_known_range": _tx("SELECT bin, low, high, n FROM e", _histogram("amount")),
     "P10_value_counts": _tx("SELECT device_type, COUNT(*) AS count FROM t GROUP BY device_type"),
     "P11_distribution_many_values": _tx(
         "SELECT 'histogram' AS kind, bin, low, high, CAST(NULL AS DOUBLE) AS value, n FROM e",
@@ -217,6 +228,14 @@ ORACLE: dict[str, str] = {
             NUMERIC, "'{c}' AS \"column\", '{kind}' AS type, " + f"{DISTINCT}, {MISSING}, {_moments()}", kind=TYPES
         )
     ),
+    "P12_profile_merged_from_days": _tx(
+        _per_column(
+            NUMERIC,
+            f"'{{c}}' AS \"column\", COUNT({{c}}) AS count, {MISSING}, ROUND(AVG({{c}}), {DECIMALS}) AS mean, "
+            f"ROUND(STDDEV_SAMP({{c}}), {DECIMALS}) AS stddev, CAST(MIN({{c}}) AS DOUBLE) AS min, "
+            f"CAST(MAX({{c}}) AS DOUBLE) AS max, TRUE AS near, {DISTINCT}",
+        )
+    ),
     "A1_label_statistics": _tx(LABEL_STATS),
     "A2_fraud_rate_by_merchant": _tx(
         _rate_by("merchant_category", tail="ORDER BY fraud_percent DESC, merchant_category LIMIT 10")
@@ -259,6 +278,7 @@ ORACLE: dict[str, str] = {
         f"SELECT DISTINCT {FILLED}, {CALENDAR}, {ORIGIN_DISTANCE}, {VELOCITY}, {OFF_HOURS} FROM t"
     ),
     "R1_time_since_previous": _tx(_gap("customer_id")),
+    "R1_time_since_previous_loads": _tx(_gap("customer_id")),
     "R1_time_since_previous_hot_customer": _tx(
         _gap("CASE WHEN CAST(substr(customer_id, 6) AS BIGINT) % 3 = 0 THEN 'CUST_HOT' ELSE customer_id END")
     ),
@@ -300,6 +320,22 @@ ORACLE: dict[str, str] = {
         DEVICE,
         MERCHANT,
     ),
+    "M4_joined_index": _tx(
+        "SELECT transaction_id, CAST(d.idx AS DOUBLE) AS device_type_index, CAST(m.idx AS DOUBLE) AS "
+        f"merchant_category_index, CAST(k.idx AS DOUBLE) AS customer_id_index FROM {DEVICE_JOIN} {MERCHANT_JOIN} "
+        "JOIN k ON k.customer_id IS NOT DISTINCT FROM t.customer_id",
+        DEVICE,
+        MERCHANT,
+        CUSTOMER,
+    ),
+    "M5_joined_one_hot": _tx(f"SELECT transaction_id, {DEVICE_SLOTS} FROM {DEVICE_JOIN}", DEVICE),
+    "M6_medians": _tx(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS median FROM v"
+            for c in ("amount", "time_since_last", "txn_velocity", "distance_from_home")
+        ),
+        f"v AS (SELECT *, {VELOCITY}, {ORIGIN_DISTANCE} FROM t)",
+    ),
     "M5_one_hot": _tx(f"SELECT transaction_id, {DEVICE_SLOTS} FROM {DEVICE_JOIN}", DEVICE),
     "M6_M7_feature_vector": _tx(
         f"SELECT transaction_id, {DEVICE_SLOTS}, amount AS slot_3, CAST(hour(timestamp) AS DOUBLE) AS slot_4 "
@@ -322,6 +358,13 @@ ORACLE: dict[str, str] = {
     "E1_hash_sample": _tx(f"SELECT * FROM s WHERE {_bucket(FINE, 'sample')} < {FINE // 10}", SCORED),
     "E3_area_under_roc": _tx(f"SELECT {AUC} FROM r", SCORED, CURVE),
     "E4_area_under_pr": _tx(f"SELECT {PR_AUC} FROM r", SCORED, CURVE),
+    "E3_E4_areas_of_bins": _tx(f"SELECT {AUC}, {PR_AUC}, TRUE AS auc_near, TRUE AS pr_auc_near FROM r", SCORED, CURVE),
+    "E8_evaluate_bins": _tx(f"SELECT {RATES}, tp, fp, fn, tn, TRUE AS narrow FROM c", SCORED, CELLS),
+    "E11_roc_curve_of_bins": _tx(
+        "SELECT TRUE AS on_the_curve, TRUE AS enough, MAX(tp_at / pos_all) AS tpr, MAX(fp_at / neg_all) AS fpr FROM r",
+        SCORED,
+        CURVE,
+    ),
     "E5_confusion": _tx("SELECT tp, fp, fn, tn FROM c", SCORED, CELLS),
     "E6_E7_rates": _tx(f"SELECT {RATES} FROM c", SCORED, CELLS),
     "E8_evaluate": _tx(

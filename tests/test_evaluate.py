@@ -134,3 +134,36 @@ def test_sample_predictions(scored):
     assert got.columns == ["is_fraud", "prediction", "probability", "score", "transaction_id"]
     assert got.count() == 5
     assert evaluate.sample_predictions(df, ["score"], id_col=None, n=5).count() == 5
+
+
+@pytest.mark.parametrize("bins", [2, 7, 400])
+def test_areas_of_bins_are_within_their_bound(scored, bins):
+    for rows in (scored, scored.withColumn("score", F.round("score", 1)), scored.withColumn("score", F.lit(0.5))):
+        _, auc, pr = _brute(rows.collect())
+        got = evaluate.evaluate(rows, bins=bins).first()
+        assert abs(got.auc - auc) <= got.auc_within + 1e-12 and abs(got.pr_auc - pr) <= got.pr_auc_within + 1e-12
+        exact = evaluate.evaluate(rows).first()
+        assert (got.precision, got.recall, got.accuracy, got.tp, got.tn) == (exact.precision, exact.recall, exact.accuracy, exact.tp, exact.tn)
+        assert evaluate.area_under_roc(rows, bins=bins).columns == ["auc", "auc_within"]
+    few = evaluate.area_under_roc(scored, bins=100).first()
+    assert few.auc_within < 0.01 and evaluate.area_under_pr(scored, bins=100).first().pr_auc_within < 0.1
+
+
+def test_points_of_bins_lie_on_the_curve(scored):
+    exact = {(r.threshold, r.tpr, r.fpr) for r in evaluate.roc_curve(scored).collect()}
+    some = evaluate.roc_curve(scored, bins=20).collect()
+    assert {tuple(r) for r in some} <= exact and 15 <= len(some) <= 25
+    odd = scored.withColumn("score", F.when(F.col("score") < 0.2, float("-inf")).when(F.col("score") > 0.8, float("inf")).otherwise(F.col("score")))
+    assert {tuple(r) for r in evaluate.roc_curve(odd, bins=9, origin=False).collect()} <= {tuple(r) for r in evaluate.roc_curve(odd, origin=False).collect()}
+    with pytest.raises(ValueError, match="at least 2"):
+        evaluate.roc_curve(scored, bins=1)
+
+
+def test_bins_of_no_rows_and_of_one_class(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert tuple(evaluate.evaluate(none, bins=5).first())[:4] == (None, None, None, None)
+    one = spark.createDataFrame([("a", 0, 0.0, 0.1), ("b", 0, 1.0, 0.9)], SCHEMA)
+    assert evaluate.area_under_roc(one, bins=5).first().auc is None
+    bad = spark.createDataFrame([("a", 0, 0.0, None), ("b", 0, 1.0, 0.9)], SCHEMA)
+    with pytest.raises(ValueError, match="scores must be numbers"):
+        evaluate.evaluate(bad, bins=5)

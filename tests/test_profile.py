@@ -158,11 +158,44 @@ def test_distribution_counts_null_as_a_value_but_bins_numbers_only(spark):
     assert {(r.value, r.n) for r in few.collect()} == {(0.0, 1), (1.0, 1), (2.0, 1), (None, 2)}
 
 
-def test_distribution_shares_one_shuffle(spark):
-    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+def test_distribution_shuffles_no_values(spark):
+    """However many values are different, what tasks send on are bins."""
+    df = spark.range(0, 200_000, 1, 4).select((F.col("id") * 1.5).alias("value"))
     got = profile.profile_distribution(df, "value")
+    assert got.agg(F.sum("n")).first()[0] == 200_000
     got.collect()
-    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+    rows = _sent(got._jdf.queryExecution().executedPlan())
+    assert rows and max(rows) <= 4 * 20
+
+
+def _sent(node):
+    """Rows that each shuffle of an executed plan wrote."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        return _sent(node.executedPlan())
+    if node.nodeName() == "ShuffleQueryStage":
+        own = node.plan().metrics()
+        return [own.apply("shuffleRecordsWritten").value(), *_sent(node.plan())]
+    return [n for i in range(node.children().size()) for n in _sent(node.children().apply(i))]
+
+
+@pytest.mark.parametrize("threshold", [3, 5000])
+def test_distribution_decides_exactly_at_the_threshold(spark, threshold):
+    df = spark.range(threshold).select(F.col("id").cast("double").alias("x"))
+    zeros = df.union(spark.sql("SELECT -0.0D AS x")) if threshold == 3 else df
+    assert {r.kind for r in profile.profile_distribution(zeros, "x", threshold).collect()} == {"value_counts"}
+    more = df.union(spark.createDataFrame([(None,)], "x double"))
+    assert {r.kind for r in profile.profile_distribution(more, "x", threshold).collect()} == {"histogram"}
+    money = df.select(F.col("x").cast("decimal(20,2)").alias("x"))
+    assert {r.kind for r in profile.profile_distribution(money, "x", threshold).collect()} == {"value_counts"}
+    assert profile.profile_distribution(df.limit(0), "x").count() == 0
+
+
+def test_histogram_with_a_known_range_reads_once(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    low, high = df.agg(F.min("value"), F.max("value")).first()
+    once = profile.histogram(df, "value", span=(low, high))
+    assert once._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    assert once.collect() == profile.histogram(df, "value").collect()
 
 
 def test_distribution_of_text_is_refused(table):

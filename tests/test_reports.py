@@ -41,7 +41,25 @@ def test_other_label(table):
     assert reports.label_statistics(renamed, label="bad").count() == 2
 
 
-def test_explore_is_lazy_and_complete(table):
+def test_explore_scans_once(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet").selectExpr(
+        "CAST(event_id % 7 = 0 AS INT) AS is_fraud", "event_type AS merchant_category", "value AS amount",
+        "CASE event_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' END AS device_type",
+    )
+    plan = reports.explore_totals(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1
+    found = reports.explore(df)
+    for name, alone in {
+        "fraud_stats": reports.label_statistics(df),
+        "merchant_stats": reports.fraud_rate_by(df, "merchant_category", top=10),
+        "device_stats": reports.fraud_rate_by(df, "device_type"),
+    }.items():
+        assert found[name].columns == alone.columns
+        shown = lambda t: [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in t.collect()]
+        assert sorted(shown(found[name]), key=str) == sorted(shown(alone), key=str)
+
+
+def test_explore_is_complete(table):
     found = reports.explore(table)
     assert list(found) == ["fraud_stats", "merchant_stats", "device_stats"]
     assert [found[k].count() for k in found] == [2, 10, 2]
