@@ -172,9 +172,9 @@ def _sent(node):
     """Rows that each shuffle of an executed plan wrote."""
     if node.nodeName() == "AdaptiveSparkPlan":
         return _sent(node.executedPlan())
-    if node.nodeName() == "ShuffleQueryStage":
-        own = node.plan().metrics()
-        return [own.apply("shuffleRecordsWritten").value(), *_sent(node.plan())]
+    if node.nodeName().endswith("QueryStage"):
+        own = node.plan().metrics().get("shuffleRecordsWritten")
+        return [own.get().value() for _ in range(own.isDefined())] + _sent(node.plan())
     return [n for i in range(node.children().size()) for n in _sent(node.children().apply(i))]
 
 
