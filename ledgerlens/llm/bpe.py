@@ -225,7 +225,7 @@ def encode_documents(
     clash = set(keep) & set(outputs)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are both kept and made")
-    source = docs.select(*[docs[c] for c in keep], docs[text_col].alias("__text"))
+    source = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)], docs[text_col].alias("text"))
     file = _shipped(docs, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +266,7 @@ def encode_documents(
                 ]
                 yield pa.RecordBatch.from_arrays(kept + new, names=[*keep, *outputs])
 
-    kept_types = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
+    kept_types = [f"`{c}` {f.dataType.simpleString()}" for c, f in zip(keep, source.schema.fields)]
     return source.mapInArrow(run, ", ".join([*kept_types, *(f"{n} {OUTPUTS[n][0]}" for n in outputs)]))
 
 

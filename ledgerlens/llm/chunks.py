@@ -297,9 +297,10 @@ def drop_repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col:
         docs[text_col].alias("__text"),
     )
     joined = rows.join(found, (rows["__doc"] == found["doc"]) & (rows["__mark"] == found["mark"]), "left").select(
-        *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep)], "__text", "__found"
+        *[F.col(f"__{i}") for i in range(len(keep))], "__text", "__found"
     )
-    types = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[: len(keep)]]
+    types = [f"`{c}` {f.dataType.simpleString()}" for c, f in zip(keep, joined.schema.fields)]
+    names = [*keep, "text", "cut_spans", "cut_bytes"]
     return joined.mapInArrow(
-        _cut, ", ".join([*types, "text string", "cut_spans array<struct<start: int, end: int>>", "cut_bytes bigint"])
+        lambda batches: (b.rename_columns(names) for b in _cut(batches)), ", ".join([*types, "text string", "cut_spans array<struct<start: int, end: int>>", "cut_bytes bigint"])
     )

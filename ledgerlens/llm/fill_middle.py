@@ -123,9 +123,11 @@ def transform(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
                     start, size, rows = i + 1, 0, []
 
     source = docs.select(
-        *[docs[c] for c in keep], docs[id_col].cast("string").alias("__key"), docs[text_col].alias("__text")
+        *[docs[c].alias(f"c{i}") for i, c in enumerate(keep)],
+        docs[id_col].cast("string").alias("key"),
+        docs[text_col].alias("text"),
     )
-    kept_types = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[: len(keep)]]
+    kept_types = [f"`{c}` {f.dataType.simpleString()}" for c, f in zip(keep, source.schema.fields)]
     return source.mapInArrow(
         run, ", ".join([*kept_types, "n bigint, form string, prefix_chars bigint, middle_chars bigint, output string"])
     )

@@ -62,7 +62,7 @@ def text_features(
     docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "x"
 ) -> DataFrame:
     """Kept columns and one vector of doubles `out` per row from its whole text; null and blank texts have only zeros."""
-    source = docs.select(*[docs[c] for c in keep], docs[text_col].alias("__text"))
+    source = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)], docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,7 +77,7 @@ def text_features(
             yield pa.RecordBatch.from_arrays([*kept, x.cast(pa.list_(pa.float64()))], names=[*keep, out])
         pa.default_memory_pool().release_unused()
 
-    kept_types = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
+    kept_types = [f"`{c}` {f.dataType.simpleString()}" for c, f in zip(keep, source.schema.fields)]
     return source.mapInArrow(run, ", ".join([*kept_types, f"{out} array<double>"]))
 
 
