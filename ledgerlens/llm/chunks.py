@@ -1,4 +1,4 @@
-"""Substring deduplication: passages found by winnowed 100-byte grams and extended byte by byte, first copies kept."""
+"""Substring deduplication by content-defined chunks: equal chunks show where to look, bytes decide what is cut."""
 
 from __future__ import annotations
 
@@ -9,178 +9,152 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.words import mix
+from ledgerlens.llm.words import mix, utf8
 from ledgerlens.scratch import durable
 
-# Bytes of a chunk: at least, at most; and the hash bits that are zero at a cut (a cut every 32 bytes on average).
-SHORTEST, LONGEST, CUT_BITS = 32, 256, 5
-# Repeats are cut out from this many bytes on; shorter repeats are ordinary language. An anchor has as many.
+# A byte ends a piece if no gear hash of REACH bytes before and after it is smaller (a cut every 25 bytes on average).
+REACH = 12
+# Pieces without such a byte are cut every so many bytes; so many pieces in a row are a chunk.
+LONGEST, PIECES = 256, 3
+# Repeats are cut out from this many bytes on; shorter repeats are ordinary language.
 SHORTEST_CUT = 100
-# Grams that begin in so many bytes hold an anchor (a power of two): a repeat of SHORTEST_CUT + WINDOW - 1 bytes has one.
-WINDOW = 64
-# Bytes that are hashed together.
-SLICE = 1 << 20
+# Bytes around a run of repeated chunks that are compared with those around its first copy.
+WINDOW = LONGEST
+# Bytes that are hashed together, and those that a gear hash looks back on.
+SLICE, GEAR_BYTES = 1 << 20, 32
 
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 _BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
-def _cut_points(data: np.ndarray) -> np.ndarray:
-    """Positions after bytes at which the gear hash of the last 32 bytes has only zeros in its top bits."""
-    found = []
-    for at in range(0, len(data), SLICE):
-        before = min(at, 31)
-        h = _GEAR[data[at - before : at + SLICE]]
-        for width in (1, 2, 4, 8, 16):
-            rolled = h.copy()
-            rolled[width:] += h[:-width] << np.uint32(width) if len(h) > width else 0
-            h = rolled
-        hits = np.flatnonzero(h >> np.uint32(32 - CUT_BITS) == 0)
-        found.append(hits[hits >= before] - before + at + 1)
-    return np.concatenate(found) if found else np.zeros(0, np.int64)
+def _gear(data: np.ndarray) -> np.ndarray:
+    """Rolling gear hash of the GEAR_BYTES bytes up to each byte."""
+    h = _GEAR[data]
+    width = 1
+    while width < GEAR_BYTES:
+        rolled = h.copy()
+        if len(h) > width:
+            rolled[width:] += h[:-width] << np.uint32(width)
+        h = rolled
+        width *= 2
+    return h
 
 
-def chunk_bounds(data: np.ndarray) -> list[int]:
-    """0 = b0 < b1 < ... = length; no bound inside a UTF-8 character, all as the content says.
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Bounds of the pieces of the texts that follow one another in `data`, text i from offsets[i] to offsets[i + 1].
 
-    Anchors have taken the place of these chunks in the operator.
+    A text is cut after bytes with the least gear hash near them, every LONGEST bytes in gaps, and at its ends.
+    """
+    n, margin = len(data), REACH + GEAR_BYTES - 1
+    found = [np.asarray(offsets, np.int64)]
+    for at in range(0, n, SLICE):
+        lo, hi = max(0, at - margin), min(n, at + SLICE + REACH)
+        h = _gear(data[lo:hi])
+        least = np.ones(len(h), bool)
+        for d in range(1, min(REACH + 1, len(h))):
+            least[d:] &= h[d:] < h[:-d]
+            least[:-d] &= h[:-d] <= h[d:]
+        here = np.flatnonzero(least) + lo
+        here = here[(here >= at) & (here < at + SLICE)]
+        text = np.searchsorted(offsets, here, side="right") - 1
+        here = here[(here - offsets[text] >= margin) & (here < offsets[text + 1] - REACH)]
+        found.append(here + 1)
+    points = np.unique(np.concatenate(found))
+    wide = np.flatnonzero(np.diff(points) > LONGEST)
+    if len(wide):
+        extra = [np.arange(points[i] + LONGEST, points[i + 1], LONGEST) for i in wide]
+        points = np.unique(np.concatenate([points, *extra]))
+    return points
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, start in it, length and digest of the chunks of texts: from each cut to the PIECES-th after it.
+
+    Chunks overlap, so that each cut starts one; they are as long as the content says. Texts with fewer pieces
+    are one chunk; those under SHORTEST_CUT bytes have none.
     """
-    n = len(data)
-    bounds, at = [0], 0
-    points = _cut_points(data).tolist() if n > SHORTEST else []
-    points.append(n)
-    for p in points:
-        while p - at > LONGEST:
-            at = _forward(data, at + LONGEST, n)
-            bounds.append(at)
-        if p - at >= SHORTEST and p < n:
-            p = _forward(data, p, n)
-            if p - at <= LONGEST + 3 and p < n:
-                bounds.append(p)
-                at = p
-    if at < n:
-        bounds.append(n)
-    return bounds
-
-
-def _forward(data: np.ndarray, p: int, n: int) -> int:
-    while p < n and data[p] & 0xC0 == 0x80:
-        p += 1
-    return p
-
-
-def _grams(data: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the SHORTEST_CUT bytes from every position on."""
-    n = len(data) - SHORTEST_CUT + 1
-    h, width, at, out = _BYTES[data], 1, 0, np.zeros(n, np.uint64)
-    while True:
-        if SHORTEST_CUT & width:
-            out = out * np.uint64(pow(_BASE, width, 1 << 64)) + h[at : at + n]
-            at += width
-        if 2 * width > SHORTEST_CUT:
-            return mix(out)
-        h = h[:-width] * np.uint64(pow(_BASE, width, 1 << 64)) + h[width:]
+    offsets = np.asarray(offsets, np.int64)
+    points = cuts(data, offsets)
+    first = np.searchsorted(points, offsets)
+    text = np.searchsorted(offsets, points, side="right") - 1
+    text = np.minimum(text, len(offsets) - 2)
+    at = np.arange(len(points))
+    last = first[text + 1]
+    whole = offsets[text + 1] - offsets[text] >= SHORTEST_CUT
+    at = at[whole & ((at + PIECES <= last) | (at == first[text])) & (at < last)]
+    text, starts, ends = text[at], points[at], points[np.minimum(at + PIECES, last[at])]
+    digests = np.zeros(len(starts), np.uint64)
+    for i in range(0, len(starts), SLICE // LONGEST):
+        a, b = starts[i : i + SLICE // LONGEST], ends[i : i + SLICE // LONGEST]
+        lo, hi = int(a[0]), int(b.max())
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data[lo:hi]] * _powers(_BASE, hi - lo))])
+        digests[i : i + len(a)] = mix((sums[b - lo] - sums[a - lo]) * _powers(_INVERSE, hi - lo)[a - lo] + (b - a).astype(np.uint64))
+    return text, starts - offsets[text], ends - starts, digests
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 ... base ** (n - 1), modulo 2 ** 64."""
+    out = np.ones(n, np.uint64)
+    width = 1
+    while width < n:
+        more = min(width, n - width)
+        out[width : width + more] = out[:more] * np.uint64(pow(base, width, 1 << 64))
         width *= 2
+    return out
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the grams that are smallest among WINDOW neighbours, and of the first and last gram."""
-    m = len(data) - SHORTEST_CUT + 1
-    if m < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    starts, hashes = [], []
-    for at in range(0, m, SLICE):
-        lo, hi = max(0, at - WINDOW + 1), min(m, at + SLICE + WINDOW - 1)
-        h = _grams(data[lo : hi + SHORTEST_CUT - 1])
-        if len(h) <= WINDOW:
-            chosen = h == h.min()
-        else:
-            least, width = h, 1
-            while width < WINDOW:
-                least = np.minimum(least[:-width], least[width:])
-                width *= 2
-            edge = np.zeros(WINDOW - 1, np.uint64)
-            most, width = np.concatenate([edge, least, edge]), 1
-            while width < WINDOW:
-                most = np.maximum(most[:-width], most[width:])
-                width *= 2
-            chosen = h == most
-        if lo == 0:
-            chosen[0] = True
-        if hi == m:
-            chosen[-1] = True
-        here = np.flatnonzero(chosen)
-        here = here[(here + lo >= at) & (here + lo < at + SLICE)]
-        starts.append(here + lo)
-        hashes.append(h[here])
-    return _thinned(np.concatenate(starts), np.concatenate(hashes))
-
-
-def _thinned(starts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of equal grams in a row the first, the last and as few between as leave no gap above WINDOW."""
-    same = hashes[1:] == hashes[:-1]
-    if not same.any():
-        return starts, hashes
-    keep, last = [0], int(starts[0])
-    at = starts.tolist()
-    for i in range(1, len(at)):
-        ends = i == len(at) - 1 or not same[i]
-        if not same[i - 1] or ends or at[i + 1] - last > WINDOW:
-            keep.append(i)
-            last = at[i]
-    return starts[keep], hashes[keep]
-
-
-def text_anchors(docs: DataFrame) -> DataFrame:
-    """(doc, mark, start, digest) of every anchor of every whole text of `docs` (doc, mark, text)."""
+def text_chunks(docs: DataFrame) -> DataFrame:
+    """(doc, mark, start, length, digest) of every chunk of every whole text of `docs` (doc, mark, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, start, digest = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            for i, text in enumerate(batch.column(2)):
-                if text.is_valid:
-                    a, h = anchors(np.frombuffer(text.as_buffer(), np.uint8))
-                    row.append(np.full(len(a), i))
-                    start.append(a)
-                    digest.append(h)
-            at = pa.array(np.concatenate(row), pa.int32())
+            data, offsets = utf8(batch.column(2))
+            text, start, length, digest = chunks(data, offsets)
+            at = pa.array(text.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at),
-                 pa.array(np.concatenate(start).astype(np.int32)), pa.array(np.concatenate(digest).view(np.int64))],
-                names=["doc", "mark", "start", "digest"],
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(start.astype(np.int32)),
+                 pa.array(length.astype(np.int32)), pa.array(digest.view(np.int64))],
+                names=["doc", "mark", "start", "length", "digest"],
             )
 
-    return docs.mapInArrow(run, "doc bigint, mark bigint, start int, digest bigint")
+    return docs.mapInArrow(run, "doc bigint, mark bigint, start int, length int, digest bigint")
 
 
-EDGE = "doc bigint, mark bigint, at int, side int, fdoc bigint, fmark bigint, fat int"
+EDGE = "doc bigint, mark bigint, run int, at int, side int, fdoc bigint, fmark bigint, fat int"
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Both edges of every span that later anchors cover, and the same places of their first copies."""
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+    """Both edges of every run of later chunks that repeat one place in a row, and the edges of that place."""
+    types = [pa.int64(), pa.int64(), *[pa.int32()] * 3, pa.int64(), pa.int64(), pa.int32()]
     names = [c.split()[0] for c in EDGE.split(", ")]
     for batch in batches:
         rows = []
         for doc, mark, found in zip(*(c.to_pylist() for c in batch.columns)):
-            spans: list[list] = []
-            for c in sorted(found, key=lambda c: c["start"]):
-                a = c["start"]
-                b = a + SHORTEST_CUT
+            runs: list[list] = []
+            # The last run of each place (document and shift) that is repeated.
+            open_: dict[tuple, list] = {}
+            for c in sorted(found, key=lambda c: (c["start"], c["first"])):
+                a, b, end = c["start"], c["start"] + c["length"], c["first"] + c["length"]
                 # A copy that overlaps its first one leaves that whole.
-                if c["doc"] == doc and c["mark"] == mark:
-                    a = max(a, c["first"] + SHORTEST_CUT)
+                own = c["doc"] == doc and c["mark"] == mark
+                if own:
+                    a = max(a, end)
                 if a >= b:
                     continue
-                right = (c["doc"], c["mark"], c["first"] + SHORTEST_CUT)
-                if spans and a <= spans[-1][2]:
-                    spans[-1][2:] = [b, right]
+                place = (doc, mark, None) if own and c["start"] < end else (c["doc"], c["mark"], c["start"] - c["first"])
+                last = open_.get(place)
+                right = (c["doc"], c["mark"], end)
+                if last and a <= last[2]:
+                    if b > last[2]:
+                        last[2:] = [b, right]
                 else:
                     left = (c["doc"], c["mark"], c["first"]) if a == c["start"] else (None, None, None)
-                    spans.append([a, left, b, right])
-            for a, left, b, right in spans:
-                rows += [(doc, mark, a, 0, *left), (doc, mark, b, 1, *right)]
+                    open_[place] = [a, left, b, right]
+                    runs.append(open_[place])
+            for i, (a, left, b, right) in enumerate(runs):
+                rows += [(doc, mark, i, a, 0, *left), (doc, mark, i, b, 1, *right)]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
@@ -209,13 +183,20 @@ def _common(a: bytes, b: bytes) -> int:
 
 
 def _spans(data: bytes, edges: list[dict]) -> list[tuple[int, int]]:
-    """Spans between edges, as far as the bytes around agree with those around the first copy; whole characters."""
-    edges = sorted(edges, key=lambda e: (e["at"], e["side"]))
+    """Runs of SHORTEST_CUT bytes or more, as far as the bytes around agree with those around the first copy.
+
+    Runs that touch are one span; its ends are moved inwards to whole characters.
+    """
+    edges = sorted(edges, key=lambda e: (e["run"], e["side"]))
     out: list[list[int]] = []
+    runs = []
     for left, right in zip(edges[::2], edges[1::2]):
         a, b = left["at"], right["at"]
         a -= _common(data[max(0, a - WINDOW) : a][::-1], (left["near"] or b"")[::-1])
         b += _common(data[b : b + WINDOW], right["near"] or b"")
+        if b - a >= SHORTEST_CUT:
+            runs.append((a, b))
+    for a, b in sorted(runs):
         if out and a <= out[-1][1]:
             out[-1][1] = max(b, out[-1][1])
         else:
@@ -225,7 +206,7 @@ def _spans(data: bytes, edges: list[dict]) -> list[tuple[int, int]]:
             span[0] += 1
         while span[1] < len(data) and data[span[1]] & 0xC0 == 0x80:
             span[1] -= 1
-    return [(a, b) for a, b in out if b - a >= SHORTEST_CUT]
+    return [(a, b) for a, b in out if a < b]
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,27 +238,28 @@ def drop_repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col:
                              keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Kept columns, `text` without repeated passages, `cut_spans` (bytes of the old text) and `cut_bytes`.
 
-    Of each 100-byte anchor the first stays: that of the smallest id (null ids last), then the smallest position.
-    What later anchors cover is cut out, together with the bytes around that agree with those around the first
-    copy. Every passage of 163 bytes or more that occurs earlier has an anchor (51 words of 2.2 letters), so none
-    is missed; shorter repeats from 100 bytes on may be. At an end up to 63 bytes stay where the anchor nearest
-    to it has its first copy in another place that ends sooner, and characters cut in two stay. Null and empty
-    texts stay as they are. Rows that agree in id and text are one document: they are cut alike. Whole texts of
-    100 bytes or more that occur earlier are cut to the empty text; the row stays.
+    Of each chunk (see `chunks`) the first stays: that of the smallest id (null ids last), then the smallest
+    position. Later chunks that repeat one place in a row are a run; it grows by the bytes around that agree with
+    those around its first copy, up to WINDOW at each end, and is cut out if it has SHORTEST_CUT bytes or more.
+    So what is cut always occurs earlier, byte by byte, and nothing shorter is. A repeat is found if a whole
+    chunk lies in it and has its first copy there: cuts depend on 43 bytes before and 12 after them and are 25
+    apart on average. Null and empty texts stay as they are. Rows that agree in id and text are one document:
+    they are cut alike. Whole texts of SHORTEST_CUT bytes or more that occur earlier are cut to the empty text;
+    the row stays.
     """
     clash = set(keep) & {"text", "cut_spans", "cut_bytes"}
     if clash:
         raise ValueError(f"columns {sorted(clash)} are both kept and made")
     mark, doc = F.xxhash64(docs[text_col]), F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1))
     texts = docs.select(doc.alias("doc"), mark.alias("mark"), docs[text_col].alias("text"))
-    found = text_anchors(texts)
+    found = durable(text_chunks(texts))
     place = F.struct("doc", "mark", "start")
     first = durable(
         found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
     later = found.join(first, "digest").where(place != F.col("first"))
     covered = later.groupBy("doc", "mark").agg(F.collect_set(F.struct(
-        "start", F.col("first.doc").alias("doc"), F.col("first.mark").alias("mark"), F.col("first.start").alias("first")
+        "start", "length", F.col("first.doc").alias("doc"), F.col("first.mark").alias("mark"), F.col("first.start").alias("first")
     )).alias("found"))
     edges = durable(covered.mapInArrow(_edges, EDGE))
     place = ["fdoc", "fmark", "fat", "side"]
@@ -290,7 +272,7 @@ def drop_repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col:
     )
     near = durable(near.groupBy(place).agg(F.min("near").alias("near")))
     found = edges.join(near, place, "left").groupBy("doc", "mark").agg(
-        F.collect_list(F.struct("at", "side", "near")).alias("__found")
+        F.collect_list(F.struct("run", "at", "side", "near")).alias("__found")
     )
     rows = docs.select(
         *[docs[c].alias(f"__{i}") for i, c in enumerate(keep)], doc.alias("__doc"), mark.alias("__mark"),

@@ -255,7 +255,11 @@ def test_chunks_resist_an_insertion_and_lose_repeats(spark, edge, empty):
 
     body = " ".join(f"tok{i * 7919 % 4001}" for i in range(900))
     data = body.encode()
-    assert b"".join(data[a:b] for a, b in zip(*[chunks.chunk_bounds(np.frombuffer(data, np.uint8))[i:] for i in (0, 1)])) == data
+    of = lambda d: {d[a : a + n] for _, a, n, _ in zip(*chunks.chunks(np.frombuffer(d, np.uint8), [0, len(d)]))}
+    changed = of(data[:3000] + b"inserted" + data[3000:])
+    assert len(of(data) - changed) < 12 and len(of(data)) > 100
+    points = chunks.cuts(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert points[0] == 0 and points[-1] == len(data) and 20 < len(data) / len(points) < 32
     passage = " ".join(f"shared{i}" for i in range(60))
     rows = [(1, f"first {passage} end"), (2, f"xx {body[:3000]} {passage} {body[3000:]}"), (3, f"yy {passage}"), (4, body)]
     got = {r.doc_id: r for r in chunks.drop_repeated_substrings(docs(spark, rows)).collect()}
@@ -296,6 +300,38 @@ def test_no_repeated_passage_of_51_words_is_left(spark):
     assert got[3] == "" and len(got[2]) < 120 and got[1].startswith("word " * 20)
 
 
+def test_cuts_of_a_whole_table_are_the_repeats_of_a_plain_search(spark):
+    rows = sorted(table(spark.read.parquet(f"{SF}/documents.parquet")))
+    draw = random.Random(4)
+    long_texts = [t for _, t in rows if t and len(t) > 800]
+    planted = []
+    for i in range(120):
+        source = draw.choice(long_texts)
+        n = draw.choice([100, 140, 200, 300, 600])
+        at = draw.randrange(len(source) - n)
+        planted.append((10**6 + i, f"own start {i} of it {source[at : at + n]} own end {i}"))
+    rows += planted
+    got = {r.doc_id: r for r in chunks.drop_repeated_substrings(docs(spark, rows)).collect()}
+    seen: set[bytes] = set()
+    repeated = missed = 0
+    for i, text in rows:
+        data = (text or "").encode()
+        is_cut, earlier, own = bytearray(len(data)), bytearray(len(data)), set()
+        for s in got[i].cut_spans:
+            is_cut[s.start : s.end] = b"\1" * (s.end - s.start)
+        for a in range(len(data) - 99):
+            gram = data[a : a + 100]
+            if gram in seen or gram in own:
+                earlier[a : a + 100] = b"\1" * 100
+            own.add(gram)
+        assert all(e or not c for c, e in zip(is_cut, earlier))
+        for m in re.finditer(b"\1{200,}", bytes(earlier)):
+            repeated += m.end() - m.start()
+            missed += is_cut[m.start() : m.end()].count(0)
+        seen |= own
+    assert repeated > 10_000 and missed <= 0.01 * repeated
+
+
 def test_warc_agrees_with_sql(spark):
     columns, rows = spark_rows(QUERIES["op1_warc"](spark, SF))
     assert (columns, rows) == duck_rows(duck(SF), ORACLE["op1_warc"])
