@@ -46,22 +46,23 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Bounds of the pieces of the texts that follow one another in `data`, text i from offsets[i] to offsets[i + 1].
 
     A text is cut after bytes with the least gear hash near them, every LONGEST bytes in gaps, and at its ends.
+    Of bytes that tie, as in periodic text, the first counts, then the next beyond the reach of the last that did.
     """
     n, margin = len(data), REACH + GEAR_BYTES - 1
-    found = [np.asarray(offsets, np.int64)]
+    found = [np.zeros(0, np.int64)]
     for at in range(0, n, SLICE):
         lo, hi = max(0, at - margin), min(n, at + SLICE + REACH)
         h = _gear(data[lo:hi])
         least = np.ones(len(h), bool)
         for d in range(1, min(REACH + 1, len(h))):
-            least[d:] &= h[d:] < h[:-d]
+            least[d:] &= h[d:] <= h[:-d]
             least[:-d] &= h[:-d] <= h[d:]
         here = np.flatnonzero(least) + lo
         here = here[(here >= at) & (here < at + SLICE)]
         text = np.searchsorted(offsets, here, side="right") - 1
         here = here[(here - offsets[text] >= margin) & (here < offsets[text + 1] - REACH)]
         found.append(here + 1)
-    points = np.unique(np.concatenate(found))
+    points = np.unique(np.concatenate([np.asarray(offsets, np.int64), _untied(np.concatenate(found))]))
     wide = np.flatnonzero(np.diff(points) > LONGEST)
     if len(wide):
         extra = [np.arange(points[i] + LONGEST, points[i + 1], LONGEST) for i in wide]
@@ -69,6 +70,23 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return points
 
 
+def _untied(points: np.ndarray) -> np.ndarray:
+    if len(points) < 2 or np.diff(points).min() > REACH:
+        return points
+    keep = np.ones(len(points), bool)
+    tied = np.flatnonzero(np.diff(points) <= REACH) + 1
+    last, before = 0, -1
+    for i, p, q in zip(tied.tolist(), points[tied].tolist(), points[tied - 1].tolist()):
+        if i != before + 1:
+            last = q
+        if p - last > REACH:
+            last = p
+        else:
+            keep[i] = False
+        before = i
+    return points[keep]
+
+
 def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Text, start in it, length and digest of the chunks of texts: from each cut to the PIECES-th after it.
 
@@ -133,26 +151,26 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc, mark, found in zip(*(c.to_pylist() for c in batch.columns)):
             runs: list[list] = []
-            # The last run of each place (document and shift) that is repeated.
+            # The last run of each shift against another document, and of each first copy (in periodic text).
             open_: dict[tuple, list] = {}
             for c in sorted(found, key=lambda c: (c["start"], c["first"])):
                 a, b, end = c["start"], c["start"] + c["length"], c["first"] + c["length"]
-                # A copy that overlaps its first one leaves that whole.
-                own = c["doc"] == doc and c["mark"] == mark
-                if own:
-                    a = max(a, end)
+                # A copy that overlaps its first one leaves that whole, and SHORTEST_CUT bytes of periodic text.
+                if c["doc"] == doc and c["mark"] == mark:
+                    a = max(a, end, c["first"] + SHORTEST_CUT)
                 if a >= b:
                     continue
-                place = (doc, mark, None) if own and c["start"] < end else (c["doc"], c["mark"], c["start"] - c["first"])
-                last = open_.get(place)
+                shift = (c["doc"], c["mark"], "shift", c["start"] - c["first"])
+                place = (c["doc"], c["mark"], "first", c["first"])
                 right = (c["doc"], c["mark"], end)
-                if last and a <= last[2]:
-                    if b > last[2]:
-                        last[2:] = [b, right]
-                else:
+                run = next((r for k in (shift, place) if (r := open_.get(k)) and a <= r[2]), None)
+                if run is None:
                     left = (c["doc"], c["mark"], c["first"]) if a == c["start"] else (None, None, None)
-                    open_[place] = [a, left, b, right]
-                    runs.append(open_[place])
+                    run = [a, left, b, right]
+                    runs.append(run)
+                elif b > run[2]:
+                    run[2:] = [b, right]
+                open_[shift] = open_[place] = run
             for i, (a, left, b, right) in enumerate(runs):
                 rows += [(doc, mark, i, a, 0, *left), (doc, mark, i, b, 1, *right)]
         if rows:
@@ -239,9 +257,9 @@ def drop_repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col:
     """Kept columns, `text` without repeated passages, `cut_spans` (bytes of the old text) and `cut_bytes`.
 
     Of each chunk (see `chunks`) the first stays: that of the smallest id (null ids last), then the smallest
-    position. Later chunks that repeat one place in a row are a run; it grows by the bytes around that agree with
+    position. Later chunks that repeat one place in a row, or one chunk again and again, are a run; it grows by the bytes around that agree with
     those around its first copy, up to WINDOW at each end, and is cut out if it has SHORTEST_CUT bytes or more.
-    So what is cut always occurs earlier, byte by byte, and nothing shorter is. A repeat is found if a whole
+    So what is cut occurs earlier (periodic text: in itself), byte by byte, and nothing shorter is. A repeat is found if a whole
     chunk lies in it and has its first copy there: cuts depend on 43 bytes before and 12 after them and are 25
     apart on average. Null and empty texts stay as they are. Rows that agree in id and text are one document:
     they are cut alike. Whole texts of SHORTEST_CUT bytes or more that occur earlier are cut to the empty text;
