@@ -69,8 +69,10 @@ def op5_fingerprints(spark, sf_dir):
 
 @query("op6_sharding")
 def op6_sharding(spark, sf_dir):
-    return sharding.shard_documents(documents(spark, sf_dir)).withColumns(
-        {"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}
+    found = sharding.shard_documents(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "n_copies",
     )
 
 

@@ -11,9 +11,10 @@ from ledgerlens.scratch import durable
 
 SHARDS = 16
 ROUNDS = 16
-# Proposals are let in by size class and hash class (at least 64); only the class on the edge is ranked by row.
+# Groups above this share of a shard start packed: at most so many a shard, too large to travel by swaps.
+LARGE = 8
+# Proposals are let in by size class and hash class; only the class on the edge is ranked by row.
 HASH_CLASSES = 64
-ROWS_PER_CLASS = 5_000_000
 ROWS_PER_BUCKET = 50_000
 
 
@@ -21,23 +22,32 @@ def _spread(column: str, n: int, salt: str = ""):
     return F.pmod(F.xxhash64(F.lit(salt), column), F.lit(n)).cast("int")
 
 
-def propagate(members: DataFrame, capacity: list[int], rounds: int = ROUNDS) -> DataFrame:
+def cut_links(members: DataFrame, state: DataFrame) -> int:
+    """Links between members of a group that lie in different shards."""
+    n = members.join(state, "node").groupBy("grp", "shard").agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("n"))
+    groups = n.groupBy("grp").agg((F.pow(F.sum("n"), 2) - F.sum(F.pow("n", F.lit(2)))).alias("twice"))
+    return int((groups.agg(F.sum("twice")).first()[0] or 0) / 2)
+
+
+def propagate(members: DataFrame, capacity: list[int], rounds: int = ROUNDS, history: list | None = None) -> DataFrame:
     """Shard of each node of `members` (node, grp), no shard above its capacity.
 
-    A group stands for links between all its members; a pair of linked documents is a group of two. All
-    start packed by group (a node of several groups by the first of them). In each round a node counts the
-    members of its groups in every shard and proposes to move to the shard with most, ties by a hash of the
-    group; opposite proposals of two shards are matched as swaps, others are granted within the free places,
-    those that moves of the round leave included. Where nothing can be granted, shards with free places alone
-    are proposed. It ends when nobody moves or after `rounds`. The number of cut links falls with each
-    granted move of a group; a group larger than a shard fills one after the other.
+    A group stands for links between all its members; a pair of linked documents is a group of two. Nodes
+    start spread evenly, but for groups too large to travel, which start packed. In each round a node counts
+    the members of its groups in every shard and proposes to move to the shard with most, ties by a hash of
+    the group and the round; opposite proposals of two shards are matched as swaps, others are granted within
+    the free places, those that moves of the round leave included. Where nothing can be granted, shards with
+    free places alone are proposed. It ends when nobody moves or after `rounds`. What is still cut then is
+    packed into the places it holds and those left free, if that cuts fewer links. `history` takes
+    (moves asked for, moves granted, links cut before) of each round, and at the end (0, 0, links cut).
     """
     n = len(capacity)
     members = durable(members)
-    state = durable(_packed(members.groupBy("node").agg(F.min("grp").alias("grp")), capacity))
-    hash_classes = max(HASH_CLASSES, sum(capacity) // ROWS_PER_CLASS)
+    nodes = durable(members.groupBy("node").agg(F.min("grp").alias("grp")))
+    state = durable(_start(nodes, capacity))
+    hash_classes = HASH_CLASSES
     every = True
-    for _ in range(rounds):
+    for turn in range(rounds):
         inside = {r.shard: r.n for r in state.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         free = [capacity[s] - inside.get(s, 0) for s in range(n)]
         open_ = [s for s in range(n) if every or free[s] > 0]
@@ -53,7 +63,7 @@ def propagate(members: DataFrame, capacity: list[int], rounds: int = ROUNDS) ->
             votes.join(state.withColumnRenamed("shard", "own"), "node")
             .where(F.col("shard").isin(open_) | (F.col("shard") == F.col("own")))
             .groupBy("node", "own")
-            .agg(F.max(F.struct("n", F.xxhash64("grp", "shard").alias("tie"), "shard")).alias("best"))
+            .agg(F.max(F.struct("n", F.xxhash64(F.lit(turn), "grp", "shard").alias("tie"), "shard")).alias("best"))
             .select("node", "own", F.col("best.shard").alias("to"), F.col("best.n").alias("n"))
             .where("to <> own")
             .withColumns({"size": F.floor(F.log2("n")).cast("int"), "h": _spread("node", hash_classes)})
@@ -70,6 +80,8 @@ def propagate(members: DataFrame, capacity: list[int], rounds: int = ROUNDS) ->
             room[c.own, c.to] -= take
             if take:
                 admitted.append((c.own, c.to, c.size, c.h, take, take == c.n))
+        if history is not None:
+            history.append((sum(asked.values()), sum(c[4] for c in admitted), cut_links(members, state)))
         if not admitted:
             if not every or not classes:
                 break
@@ -79,13 +91,53 @@ def propagate(members: DataFrame, capacity: list[int], rounds: int = ROUNDS) ->
         spark = members.sparkSession
         quota = spark.createDataFrame(admitted, "own int, to int, size int, h int, quota long, whole boolean")
         granted = wanted.join(F.broadcast(quota), ["own", "to", "size", "h"])
-        edge = granted.where("not whole").withColumn(
-            "rank", F.row_number().over(Window.partitionBy("own", "to", "size", "h").orderBy("node"))
-        )
-        moves = granted.where("whole").unionByName(edge.where("rank <= quota").drop("rank")).select(
-            "node", F.col("to").alias("new")
-        )
+        edge = granted.where("not whole").withColumn("class_", F.concat_ws(" ", "own", "to", "size", "h"))
+        edge = ranks(edge, "class_", sum(c.n for c in classes)).where("slot < quota")
+        moves = granted.where("whole").select("node", "to").unionByName(edge.select("node", "to")).withColumnRenamed("to", "new")
         state = durable(state.join(moves, "node", "left").select("node", F.coalesce("new", "shard").alias("shard")))
+    state = _mended(members, nodes, state, capacity)
+    if history is not None:
+        history.append((0, 0, cut_links(members, state)))
+    return state
+
+
+def _start(nodes: DataFrame, capacity: list[int]) -> DataFrame:
+    sizes = nodes.groupBy("grp").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") * LARGE > min(capacity))
+    large = durable(nodes.join(sizes.select("grp"), "grp", "left_semi"))
+    packed = durable(_packed(large, capacity))
+    rest = nodes.join(sizes.select("grp"), "grp", "left_anti").select("node")
+    free, k = _free(packed, capacity), rest.count()
+    places = [k * f // max(1, sum(free)) for f in free]
+    for _ in range(k - sum(places)):
+        places[max(range(len(free)), key=lambda s: free[s] - places[s])] += 1
+    return packed.unionByName(dealt(rest, places, k).select("node", "shard"))
+
+
+def _free(state: DataFrame, capacity: list[int]) -> list[int]:
+    used = {r.shard: r.n for r in state.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [c - used.get(s, 0) for s, c in enumerate(capacity)]
+
+
+def _mended(members: DataFrame, nodes: DataFrame, state: DataFrame, capacity: list[int]) -> DataFrame:
+    """`state`, or what packing the nodes of groups that are still cut makes of it if fewer links are cut.
+
+    Where that leaves groups cut that a shard could hold, groups smaller than the largest of them are packed too.
+    """
+    placed = durable(nodes.join(state, "node"))
+    groups = placed.groupBy("grp").agg(F.min("shard").alias("a"), F.max("shard").alias("b"), F.count(F.lit(1)).alias("size"))
+    groups = durable(groups.select("grp", "size", (F.col("a") != F.col("b")).alias("cut")))
+    largest = groups.where(F.col("cut") & (F.col("size") <= max(capacity))).agg(F.max("size")).first()[0]
+    least = cut_links(members, state)
+    for moved in (F.col("cut"), F.col("cut") | (F.col("size") < (largest or 0))):
+        if largest is None or not least:
+            break
+        again = groups.where(moved & (F.col("size") <= max(capacity))).select("grp")
+        stay = durable(placed.join(again, "grp", "left_anti").select("node", "shard"))
+        packed = _packed(durable(nodes.join(again, "grp", "left_semi")), _free(stay, capacity))
+        mended = durable(stay.unionByName(packed))
+        left = cut_links(members, mended)
+        if left < least:
+            state, least = mended, left
     return state
 
 
@@ -186,7 +238,7 @@ def ranks(rows: DataFrame, within: str, n: int) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", history: list | None = None) -> DataFrame:
     """Put documents into shards of equal row counts (at most one apart), equal texts together where they fit.
 
     Columns: doc_id, size (UTF-8 bytes plus 1), text_crc32, n_copies, shard, slot (0, 1, 2 ... in its shard).
@@ -208,7 +260,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     capacity = [n // shards + (s < n % shards) for s in range(shards)]
     groups = durable(rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n_copies")).where("n_copies > 1"))
     members = rows.select("node", "grp").join(groups, "grp")
-    linked = propagate(members.select("node", "grp"), capacity, rounds)
+    linked = propagate(members.select("node", "grp"), capacity, rounds, history)
     used = {r.shard: r.n for r in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     rest = rows.select("node").join(linked, "node", "left_anti")
     places = [capacity[s] - used.get(s, 0) for s in range(shards)]

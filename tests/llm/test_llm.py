@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -215,6 +216,19 @@ def test_copies_share_a_shard_where_all_or_nearly_all_rows_have_copies(spark, si
     assert all(len(held[f"text {k}"]) == 1 for k, n in enumerate(sizes) if n <= 100)
 
 
+def test_cut_links_fall_from_round_to_round(spark):
+    rounds: list[tuple[int, int, int]] = []
+    texts = [f"text {k}" for k in range(400) for _ in range(2 + k % 3)]
+    rows = sharding.shard_documents(docs(spark, [*enumerate(texts)]), shards=4, history=rounds).collect()
+    cut = [c for _, _, c in rounds]
+    assert len(rows) == len(texts) and cut[0] > 1_000 and rounds[0][1] > 400
+    assert all(b <= a for a, b in zip(cut, cut[1:])) and cut[-2] < 0.1 * cut[0] and cut[-1] <= 0.01 * cut[0]
+    rounds = []
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sharding.shard_documents(known, history=rounds)
+    assert rounds[0][1] > 0 and rounds[0][2] > rounds[-1][2] == 0
+
+
 def test_propagation_swaps_where_no_shard_has_room(spark):
     given = sharding._grants({(0, 1): 5, (1, 0): 3, (2, 0): 4}, [0, 2, 0])
     assert given == {(0, 1): 5, (1, 0): 3, (2, 0): 2}
@@ -364,6 +378,19 @@ def test_warc_keeps_records_with_long_urls_and_what_follows(spark, tmp_path):
     assert got == {(f"<urn:page:{i}>", url, html) for i, url, html in rows}
 
 
+def test_visible_text_is_that_of_a_pattern_and_takes_one_pass():
+    hidden = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.I | re.S)
+    draw = random.Random(1)
+    parts = [b"<", b">", b"<!--", b"-->", b"<script", b"</script>", b"</SCRIPT >", b"<style ", b"</style>", b"a", b" ", b"-", b"<b>"]
+    for _ in range(20_000):
+        page = b"".join(draw.choices(parts, k=draw.randrange(15)))
+        assert langid.visible(page) == hidden.sub(b" ", page)
+    for page in (b"<!-- >" * 800_000, b"<script>" * 600_000, b"<style> <!-- >" * 350_000, b"<" * 5_000_000, b"<!--" * 1_250_000):
+        began = time.process_time()
+        langid.visible(page)
+        assert time.process_time() - began < 5
+
+
 def test_languages(spark, empty):
     got = QUERIES["op2_langid"](spark, SF)
     assert got.count() == 50 and got.where("lang = declared").count() >= 48
