@@ -21,7 +21,35 @@ WITNESSES = 40.0
 # Pseudo-counts: of a trigram, of a declared language or suffix, of the level above a host.
 SMOOTH_TEXT, SMOOTH_EVIDENCE, SMOOTH_HOST = 0.5, 1.0, 5.0
 
-_HIDDEN = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.I | re.S)
+_RAW = re.compile(rb"<(script|style)\b", re.I)
+_RAW_ENDS = {name: re.compile(rb"</" + name + rb"\s*>", re.I) for name in (b"script", b"style")}
+
+
+def visible(data: bytes) -> bytes:
+    """`data` with a space for each script, style, comment and tag, in one forward pass.
+
+    What never closes is read as a tag, up to the next `>`; a kind of end that was searched for in vain
+    is not searched for again.
+    """
+    out: list[bytes] = []
+    at, missing = 0, set()
+    while (p := data.find(b"<", at)) >= 0 and (end := data.find(b">", p) + 1):
+        raw = _RAW.match(data, p)
+        if raw and (name := raw[1].lower()) not in missing:
+            close = _RAW_ENDS[name].search(data, raw.end())
+            if close:
+                end = close.end()
+            else:
+                missing.add(name)
+        elif b"--" not in missing and data.startswith(b"<!--", p):
+            close_at = data.find(b"-->", p + 4)
+            if close_at >= 0:
+                end = close_at + 3
+            else:
+                missing.add(b"--")
+        out += [data[at:p], b" "]
+        at = end
+    return b"".join([*out, data[at:]])
 
 
 def _trigrams(data: bytes) -> np.ndarray:
@@ -62,7 +90,7 @@ def fit_text(documents: DataFrame, size: int = TRAINING_DOCUMENTS) -> tuple[list
 def text_evidence(pages: DataFrame, model: np.ndarray, id_col: str = "page_id") -> DataFrame:
     """(page_id, url, declared, ll): log-likelihood of the visible text in each language, at most WITNESSES strong."""
     shared = pages.sparkSession.sparkContext.broadcast(model)
-    declared = F.lower(F.regexp_extract("html", r"(?i)<html[^>]*\slang\s*=\s*[\"']?([A-Za-z]+)", 1))
+    declared = F.lower(F.regexp_extract("html", r"(?i)<html[^<>]*\slang\s*=\s*[\"']?([A-Za-z]+)", 1))
     source = pages.select(
         pages[id_col].cast("long").alias("page_id"), pages["url"].alias("url"), pages["html"].alias("html")
     ).select("page_id", "url", F.nullif(declared, F.lit("")).alias("declared"), "html")
@@ -73,7 +101,7 @@ def text_evidence(pages: DataFrame, model: np.ndarray, id_col: str = "page_id")
             data, offsets = utf8(batch.column(3))
             found = []
             for i in range(batch.num_rows):
-                counts = _trigrams(_HIDDEN.sub(b" ", data[offsets[i] : offsets[i + 1]].tobytes()))
+                counts = _trigrams(visible(data[offsets[i] : offsets[i + 1]].tobytes()))
                 some = np.flatnonzero(counts)
                 n = counts.sum()
                 ll = model[:, some] @ counts[some] * min(1.0, WITNESSES / n)
