@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import time
 from collections import defaultdict
 
@@ -404,17 +405,78 @@ def test_languages(spark, empty):
 def test_licences(spark, edge, empty):
     known = spark.read.parquet(f"{SF}/documents.parquet")
     model = licences.fit(known)
+    assert 0.05 < model.threshold < 0.95
     lines = {"Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache",
              "This work is licensed under the GNU General Public License, version 3.": "GPL", "Licensed under CC BY-NC 4.0.": "CC-BY-NC",
-             "a license to drive a car": "unknown", "nothing of the kind": None}
-    rows = docs(spark, [(i, f"before\n{t}\nafter") for i, t in enumerate(lines)])
-    got = {r.paragraph: r.family for r in licences.scan(rows, model).collect()}
-    assert got == {t: f for t, f in lines.items() if f}
+             "// SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL", "Licensed under the Vogon Poetry License.": "unknown",
+             "a license to drive a car": None, "nothing of the kind": None}
+    got = families(licences.scan(docs(spark, [(i, f"before\n{t}\nafter") for i, t in enumerate(lines)]), model))
+    assert got == {i: {f} for i, f in enumerate(lines.values()) if f}
     plan = licences.scan(known, model)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert licences.scan(edge, model).count() == licences.scan(empty, model).count() == 0
 
 
+def families(found):
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.doc_id, set()).add(r.family)
+    return got
+
+
+def test_licence_notices_wrapped_as_in_source_files(spark):
+    """Whole notices at 60 to 80 columns, bare and in comments, within prose that names licences in passing."""
+    known = spark.read.parquet(f"{SF}/documents.parquet")
+    model = licences.fit(known)
+    prose = known.where("n_chars > 2000").orderBy("doc_id").first().text
+    rows, wanted = [], []
+    for family in ("GPL", "LGPL", "AGPL", "MIT", "BSD", "Apache", "MPL"):
+        gnu = [p.format(licences.GNU[family]) for p in licences.GNU_NOTICE] if family in licences.GNU else []
+        for width in (60, 70, 80):
+            for mark in ("", "# ", " * "):
+                parts = ["\n".join(mark + x for x in textwrap.wrap(p, width)) for p in gnu or licences.NOTICES[family]]
+                rows.append((len(rows), f"{prose}\n\n" + f"\n{mark.rstrip()}\n".join(["Copyright (c) 2020 Jo Doe", *parts]) + f"\r\n\r\n{prose}"))
+                wanted.append((family, len(parts)))
+    got = licences.scan(docs(spark, rows), model).collect()
+    for i, (family, n) in enumerate(wanted):
+        assert [r.family for r in got if r.doc_id == i] == [family] * n
+    other = ["The driving licence is issued under the terms of the road act, and you should have received a copy of it by post. "
+             "See the office for more details, or write to the holder of the public register if you can.",
+             "Permission was hereby refused to all who asked for the use of the copy, without limitation of any kind."]
+    assert not families(licences.scan(docs(spark, enumerate(other)), model)).keys() or all(
+        f == {"unknown"} for f in families(licences.scan(docs(spark, enumerate(other)), model)).values()
+    )
+
+
+def test_licences_agree_with_a_plain_scan(spark):
+    """Passages and likenesses of every document against loops over its words; null ids, repeated rows, one long line."""
+    known = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+    odd = [(None, "Released under the MIT License."), (7, notice), (7, notice), (8, "word " * 200_000 + notice + " word" * 200_000),
+           (9, "\n" * 50_000 + notice + "\n" * 50_000), (10, None), (11, "under the\n \nMIT License")]
+    rows = known.unionByName(spark.createDataFrame(odd, "doc_id long, text string")).withColumns(
+        {c: F.lit("mine") for c in ("words", "pairs", "grams", "features", "probability", "family", "paragraph")}
+    )
+    templates = [set(p) for lists in licences.template_pairs().values() for p in lists]
+    union = set().union(*templates)
+    wanted = []
+    for doc, text, *_ in rows.collect():
+        cut = re.split(licences.PARAGRAPH_BREAK.replace(r"[^\p{L}\p{N}]", r"[\W_]"), re.sub("\r\n?", "\n", text or ""))
+        for no, part in enumerate(cut):
+            w = re.findall(r"[^\W_]+", part.lower())
+            hits = [i for i in range(len(w) - 1) if f"{w[i]} {w[i + 1]}" in union]
+            runs = []
+            for h in hits:
+                runs.append([h, h]) if not runs or h - runs[-1][1] > licences.GAP else runs[-1].__setitem__(1, h)
+            for a, b in runs:
+                held = {f"{w[i]} {w[i + 1]}" for i in range(a, b + 1)}
+                best = max(len(held & t) / len(t) for t in templates)
+                if b > a and best >= licences.LISTED:
+                    wanted.append((str(doc), no, a, b - a + 2, round(best, 6)))
+    got = [(str(r.doc_id), r.paragraph_no, r.start_word, r.n_words, r.similarity) for r in licences.scan(rows).collect()]
+    assert sorted(got) == sorted(wanted) and len(got) > 4
+
+
 def test_quality_on_held_out_labels(spark, edge, empty):
     sf = "/root/testdata/sf0.01"
     got = QUERIES["op10_quality"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")
