@@ -272,7 +272,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def pages_of(records: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of the records that write_archives makes.
 
-    Bytes and digest are those of the payload read; a revisit has those of the response it refers to.
+    Bytes and digest are those of the payload read; a revisit has those of the response it refers to,
+    and nulls if no such response can be reached.
     """
     number = lambda c: F.regexp_extract(c, "<urn:page:(-?[0-9]+)>", 1).try_cast("long")
     read = durable(
@@ -288,5 +289,5 @@ def pages_of(records: DataFrame) -> DataFrame:
         .groupBy(F.col("page_id").alias("refers_to"))
         .agg(F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("payload_digest"))
     )
-    again = named.join(target, "refers_to").withColumn("record_type", F.lit("revisit"))
+    again = named.join(target, "refers_to", "left").withColumn("record_type", F.lit("revisit"))
     return own.unionByName(again).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -353,6 +353,17 @@ def test_warc_agrees_with_sql(spark):
     assert (columns, rows) == duck_rows(duck(SF), ORACLE["op1_warc"])
 
 
+def test_warc_keeps_revisits_without_their_response(spark):
+    names = "record_type string, record_id string, refers_to string, payload binary"
+    rows = [("response", "<urn:page:1>", None, b"abc"), ("revisit", "<urn:page:2>", "<urn:page:1>", b""),
+            ("revisit", "<urn:page:3>", "<urn:page:9>", b""), ("revisit", "<urn:page:3>", "<urn:page:9>", b""),
+            ("revisit", "<urn:page:4>", None, b"")]
+    got = warc.pages_of(spark.createDataFrame(rows, names)).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.record_type) for r in got if r.payload_bytes) == [(1, 3, "response"), (2, 3, "revisit")]
+    lost = [(r.page_id, r.payload_digest, r.refers_to) for r in got if r.payload_bytes is None]
+    assert sorted(lost) == [(3, None, 9), (3, None, 9), (4, None, None)]
+
+
 def test_warc_rejects_magic_in_payloads(spark, tmp_path):
     inner = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:99>\r\nContent-Length: 5\r\n\r\ninner\r\n\r\n"
     payloads = ["", None, "WARC/1.0\r\n", inner * 30, "x" * 300 + "WARC/1.0\r\n\r\n\r\n", "\r\n\r\n" + "WARC/1.0\r\n" * 50 + "é" * 400, "y" * 2000, "y" * 2000]
