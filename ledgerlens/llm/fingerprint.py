@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1024
-# Quartiles of independent texts differ by 1.25 on average, so this much difference counts as no likeness.
-CHANCE = 1.25 * BUCKETS
 # One step for each doubling of length by an eighth, and the most that length may add to a difference.
 LENGTH_STEPS, LENGTH_BOUND = 8, 64
 ROWS_PER_PART = 20_000
@@ -21,9 +19,10 @@ ROWS_PER_PART = 20_000
 
 def digest(data: bytes) -> np.ndarray:
     """Length code and quartile (0-3) of each bucket of hashed byte triplets; equal bytes, equal digests."""
-    x = np.frombuffer(data, np.uint8).astype(np.uint32)
+    size = len(data)
+    x = np.frombuffer(data.ljust(3, b"\0") if data else data, np.uint8).astype(np.uint32)
     counts = np.zeros(BUCKETS, np.int64)
-    if len(x) > 2:
+    if size:
         h = x[:-2] * np.uint32(0x9E3779B1) + x[1:-1] * np.uint32(0x85EBCA77) + x[2:] * np.uint32(0xC2B2AE3D)
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x2C1B3C6D)
@@ -31,7 +30,7 @@ def digest(data: bytes) -> np.ndarray:
     q = [BUCKETS // 4 - 1, BUCKETS // 2 - 1, 3 * BUCKETS // 4 - 1]
     bounds = np.partition(counts, q)[q]
     out = np.empty(BUCKETS + 1, np.uint8)
-    out[0] = min(255, round(LENGTH_STEPS * np.log2(len(x) + 1)))
+    out[0] = min(255, round(LENGTH_STEPS * np.log2(size + 1)))
     out[1:] = sum((counts > b).view(np.uint8) for b in bounds)
     return out
 
@@ -48,9 +47,19 @@ def difference(a: np.ndarray, b: np.ndarray) -> int:
     return int(d[1:].sum()) + min(LENGTH_BOUND, int(d[0]))
 
 
+def by_chance(a: np.ndarray, b: np.ndarray) -> float:
+    """The quartile distances to expect of independent texts with as many buckets in each quartile as these two.
+
+    1.25 for each bucket of long texts; little for short ones, whose buckets are nearly all empty.
+    """
+    p, q = (np.bincount(d[1:], minlength=4) / BUCKETS for d in (a, b))
+    return BUCKETS * float(p @ np.abs(np.subtract.outer(range(4), range(4))) @ q)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """1 for equal digests, 0 from the difference on that independent texts have."""
-    return max(0.0, 1.0 - difference(a, b) / CHANCE)
+    """1 for equal digests, 0 from the difference on that independent texts of such occupancy have."""
+    d = difference(a, b)
+    return max(0.0, 1.0 - d / by_chance(a, b)) if d else 1.0
 
 
 def edited(text: str, following: str) -> str:
@@ -157,8 +166,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Fingerprint of every whole text, of its edited text, and likeness to that and to the next document.
 
     The next document is the one that follows in descending order of id, for the last the first; equal ids
-    are ordered by text, null ids come last. A null text counts as empty; texts under three bytes have
-    all-equal buckets. One row for each row of `docs`; an empty table gives an empty one, a single row is its
+    are ordered by text, null ids come last. A null text counts as empty, which is like no other text;
+    one of one or two bytes is filled up to a triplet. One row for each row of `docs`; an empty table gives an empty one, a single row is its
     own next.
     """
     return with_next(docs, id_col, text_col).mapInArrow(_compared, OUT_TYPE)

@@ -348,6 +348,17 @@ def test_cuts_of_a_whole_table_are_the_repeats_of_a_plain_search(spark):
     assert repeated > 10_000 and missed <= 0.01 * repeated
 
 
+def test_fingerprints_of_short_and_long_texts_have_one_scale():
+    like = lambda a, b: fingerprint.likeness(fingerprint.digest(a.encode()), fingerprint.digest(b.encode()))
+    assert like("ab", "zq") < 0.1 and like("the cat sat on a mat", "quarterly tax 9931") < 0.2 and like("", "a") == 0.0
+    assert like("", "") == like("ab", "ab") == like("a\0", "a\0") == 1.0
+    rng = random.Random(4)
+    for n in (10, 40, 200, 1_000, 5_000, 20_000):
+        a, b = ("".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n)) for _ in range(2))
+        # Counts of very long texts approach the shares of triplets that the source has: 0.34 as measured.
+        assert like(a, b) < (0.25 if n <= 5_000 else 0.4) and like(a, fingerprint.edited(a, b)) > like(a, b) + 0.2
+
+
 def test_warc_agrees_with_sql(spark):
     columns, rows = spark_rows(QUERIES["op1_warc"](spark, SF))
     assert (columns, rows) == duck_rows(duck(SF), ORACLE["op1_warc"])
