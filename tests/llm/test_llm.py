@@ -465,9 +465,7 @@ def test_licence_notices_wrapped_as_in_source_files(spark):
     other = ["The driving licence is issued under the terms of the road act, and you should have received a copy of it by post. "
              "See the office for more details, or write to the holder of the public register if you can.",
              "Permission was hereby refused to all who asked for the use of the copy, without limitation of any kind."]
-    assert not families(licences.scan(docs(spark, enumerate(other)), model)).keys() or all(
-        f == {"unknown"} for f in families(licences.scan(docs(spark, enumerate(other)), model)).values()
-    )
+    assert all(f == {"unknown"} for f in families(licences.scan(docs(spark, enumerate(other)), model)).values())
 
 
 def test_licences_agree_with_a_plain_scan(spark):
