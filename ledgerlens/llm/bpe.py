@@ -1,10 +1,14 @@
 """Byte-level BPE encoding and decoding inside Spark tasks.
 
-A text is cut into special tokens and, at single spaces, into pieces that are words of the vocabulary's
-pattern; each distinct piece is merged once per worker and then looked up. A short word is a contiguous array
-of part boundaries with the rank of every adjacent pair beside it: the smallest rank is found by scanning, its
-boundary deleted and the two neighbouring ranks refreshed. That is quadratic in the word, so longer words (one
-word can be a whole text) take the same merges from a heap.
+Many texts are encoded together: they are cut into special tokens and pieces that no word crosses, the words
+of the vocabulary's pattern are found from the classes of neighbouring characters, and the distinct short words
+of a slice are merged side by side, one merge in every word per step, in arrays without a Python object per word.
+Longer words (one word can be a whole text) take the same merges from a heap.
+
+One text alone is cut at single spaces into pieces that are words of the pattern; each distinct piece is merged
+once and then looked up. A short word is a contiguous array of part boundaries with the rank of every adjacent
+pair beside it: the smallest rank is found by scanning, its boundary deleted and the two neighbouring ranks
+refreshed.
 """
 
 from __future__ import annotations
@@ -16,7 +20,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -30,6 +36,12 @@ CACHED_BYTES = 32_000_000
 CACHED_WORD_BYTES = 300
 CACHED_WORD_LENGTH = 40
 NO_RANK = 1 << 60
+# Characters whose words are found together, and the cells and widths of the arrays that words are merged in.
+SLICE_CHARACTERS = 1 << 20
+MERGED_CELLS = 1 << 19
+WIDTHS = (2, 4, 6, 8, 10, 12, 16, 24, 32, 48, SHORT_WORD)
+POSITION_BITS = 6  # of a position in a short word, below its rank
+LETTER, NUMBER, SPACE, OTHER = range(4)
 
 
 def _byte_symbols() -> dict[int, str]:
@@ -39,8 +51,52 @@ def _byte_symbols() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(shifted)) for b in range(256)}
 
 
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """The class of each code point in the pattern."""
+    classes = np.full(0x110000, OTHER, np.uint8)
+    characters = "".join(map(chr, range(0x110000)))
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for found in regex.finditer(pattern, characters):
+            classes[found.start() : found.end()] = kind
+    return classes
+
+
+def _word_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether a word of the pattern begins at each code point; none goes on where `first` says that a piece begins.
+
+    A plain space joins what follows, other space does not; of a run of space that something follows, the last
+    character stands alone. An apostrophe that begins a word takes the letters of a contraction with it.
+    """
+    n = len(points)
+    kind = _classes()[points]
+    plain = points == 0x20
+    changes = np.ones(n, bool)
+    changes[1:] = kind[1:] != kind[:-1]
+    joined = np.zeros(n, bool)
+    joined[1:] = plain[:-1]
+    space = kind == SPACE
+    last = np.ones(n, bool)
+    last[:-1] = ~space[1:] & ~first[1:]
+    last[-1] = False
+    starts = np.where(space, changes | last, changes & ~joined) | first
+    quotes = np.flatnonzero((points == 0x27) & starts)
+    if len(quotes):
+        padded = np.concatenate([points, np.zeros(2, points.dtype)])
+        inside = ~np.concatenate([first, np.ones(2, bool)])
+        one, two = padded[quotes + 1], padded[quotes + 2]
+        near = inside[quotes + 1]
+        short = near & np.isin(one, [*map(ord, "stmd")])
+        pair = np.any([(one == ord(a)) & (two == ord(b)) for a, b in ("re", "ve", "ll")], axis=0)
+        long = near & inside[quotes + 2] & pair
+        starts[quotes[short | long] + 1] = False
+        ends = np.concatenate([quotes[short] + 2, quotes[long] + 3])
+        starts[ends[ends < n]] = True
+    return starts
+
+
 class Vocabulary:
-    """Ids and merge ranks of byte strings, with encoding and decoding of one text."""
+    """Ids and merge ranks of byte strings, with encoding and decoding of one text or of many together."""
 
     def __init__(self, content: str) -> None:
         spec = json.loads(content)
@@ -70,6 +126,173 @@ class Vocabulary:
         self.cache: dict[str, tuple[int, ...]] = {}
         self.after_space: dict[str, tuple[int, ...]] = {}
         self.cached_bytes = 0
+        self._make_tables()
+
+    def _make_tables(self) -> None:
+        """The merges as sorted pairs of ids with rank and result, and what each id stands for as Arrow arrays."""
+        self.id_step = max(self.bytes_of, default=0) + 2
+        found = {}
+        for token, rank in self.rank.items():
+            for cut in range(1, len(token)):
+                a, b = self.id_of.get(token[:cut]), self.id_of.get(token[cut:])
+                if a is not None and b is not None:
+                    found[(a + 1) * self.id_step + b + 1] = rank
+        pairs = np.array(sorted(found), np.int64)
+        self.pairs = np.append(pairs, np.iinfo(np.int64).max)
+        self.pair_ranks = np.array([*map(found.get, pairs.tolist()), NO_RANK >> POSITION_BITS], np.int64)
+        self.made = np.array([self.id_of[token] for token in self.rank], np.int32)
+        self.byte_ids = np.array([self.id_of.get(bytes([b]), -1) for b in range(256)], np.int32)
+        self.byte_ranks = self._ranks(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256))
+        content = [self.bytes_of.get(i, b"") for i in range(self.id_step)]
+        self.contents = pa.array(content, pa.large_binary())
+        self.decimals = pa.array([f"{i}," for i in range(self.id_step)], pa.large_string())
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids; there is none with an id of -1."""
+        wanted = (left.astype(np.int64) + 1) * self.id_step + right + 1
+        at = np.searchsorted(self.pairs, wanted)
+        return np.where(self.pairs[at] == wanted, self.pair_ranks[at], NO_RANK >> POSITION_BITS)
+
+    def _merge_together(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of short words, one after the other, and their number in each word.
+
+        A column is a word. Row i is the part that begins at byte i with the rank of it and the part after it;
+        `after` and `before` point to the neighbours, the last row is what lies beyond both ends.
+        """
+        n, width = len(start), int(size.max())
+        row = np.arange(width + 1)[:, None]
+        inside = row < size
+        letters = data[np.minimum(start + row, len(data) - 1)]
+        ids = np.where(inside, self.byte_ids[letters], -1)
+        if (ids[inside] < 0).any():
+            raise KeyError("the vocabulary has no token for a byte of the text")
+        none = (NO_RANK >> POSITION_BITS) << POSITION_BITS
+        ranks = np.full((width + 1, n), none, np.int64)
+        pair_ranks = self.byte_ranks[letters[:-1].astype(np.int32) * 256 + letters[1:]]
+        ranks[:-1] = np.where(inside[1:], (pair_ranks << POSITION_BITS) + row[:-1], none)
+        after = np.where(row + 1 < size, row + 1, width)
+        before = np.where(row > 0, row - 1, width) + np.zeros(n, np.int64)
+        flat, after, before = ids.reshape(-1), after.reshape(-1), before.reshape(-1)
+        columns = np.arange(n)
+
+        def ranked(left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
+            return np.minimum((self._ranks(left, right) << POSITION_BITS) + at, none)
+
+        while True:
+            least = ranks.min(axis=0)
+            open_ = np.flatnonzero(least < none)
+            if not len(open_):
+                break
+            if 2 * len(open_) < ranks.shape[1]:
+                ranks, columns, least = ranks.take(open_, axis=1), columns[open_], least[open_]
+                open_ = np.arange(len(open_))
+            word, step = columns[open_], ranks.shape[1]
+            flat_ranks = ranks.reshape(-1)
+            least = least[open_]
+            i = least & ((1 << POSITION_BITS) - 1)
+            j = after[i * n + word]
+            k = after[j * n + word]
+            made = self.made[least >> POSITION_BITS]
+            flat[i * n + word] = made
+            flat[j * n + word] = -1
+            after[i * n + word] = k
+            before[k * n + word] = i
+            flat_ranks[j * step + open_] = none
+            flat_ranks[i * step + open_] = ranked(made, flat[k * n + word], i)
+            h = before[i * n + word]
+            flat_ranks[h * step + open_] = ranked(flat[h * n + word], made, h)
+        kept = ids.T >= 0
+        return ids.T[kept], kept.sum(axis=1)
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words and special tokens, one after the other, and where those of each begin and end."""
+        _, offsets, content = words.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(content, np.uint8)
+        sizes = np.diff(offsets)
+        count = np.zeros(len(words), np.int64)
+        special = np.flatnonzero(pc.is_in(words, pa.array([*map(str.encode, self.special)], pa.large_binary())))
+        ordinary = np.ones(len(words), bool)
+        ordinary[special] = False
+        found = []
+        for w in special:
+            count[w] = 1
+            found.append((np.array([w]), self.special[words[w].as_py().decode()]))
+        for least, most in pairwise((0, *WIDTHS)):
+            of_width = np.flatnonzero((sizes > least) & (sizes <= most) & ordinary)
+            for at in range(0, len(of_width), MERGED_CELLS // most):
+                chosen = of_width[at : at + MERGED_CELLS // most]
+                ids, count[chosen] = self._merge_together(data, offsets[chosen], sizes[chosen])
+                found.append((chosen, ids))
+        for w in np.flatnonzero((sizes > SHORT_WORD) & ordinary):
+            ids = self.merge_word(data[offsets[w] : offsets[w + 1]].tobytes())
+            count[w] = len(ids)
+            found.append((np.array([w]), ids))
+        bounds = np.concatenate([[0], np.cumsum(count)])
+        out = np.empty(bounds[-1], np.int32)
+        for chosen, ids in found:
+            out[_places(bounds[chosen], count[chosen])] = ids
+        return out, bounds
+
+    def _pieces(self, text: str) -> Iterator[str]:
+        """The text in special tokens and pieces that no word crosses, of about SLICE_CHARACTERS at most."""
+        for part in self.special_at.split(text) if self.special_at else [text]:
+            at = 0
+            while len(part) - at > SLICE_CHARACTERS and (cut := self.space.search(part, at + SLICE_CHARACTERS)):
+                yield part[at : cut.start()]
+                at = cut.start()
+            yield part[at:]
+
+    def _slice(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces looked at together, and their number in each piece."""
+        whole = "".join(pieces)
+        if not whole:
+            return np.zeros(0, np.int32), np.zeros(len(pieces), np.int64)
+        ends = np.cumsum([*map(len, pieces)])
+        points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        first = np.zeros(len(points) + 1, bool)
+        first[ends] = True
+        first[0] = True
+        starts = _word_starts(points, first[:-1])
+        for end, piece in zip(ends.tolist(), pieces):
+            if piece in self.special:
+                starts[end - len(piece) + 1 : end] = False
+        content = whole.encode("utf-8", "surrogatepass")
+        data = np.frombuffer(content, np.uint8)
+        begins = np.flatnonzero(starts)
+        at_byte = begins if len(data) == len(points) else np.flatnonzero((data & 0xC0) != 0x80)[begins]
+        offsets = np.append(at_byte, len(data)).astype(np.int64)
+        words = pa.Array.from_buffers(
+            pa.large_binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(content)]
+        ).dictionary_encode()
+        ids, bounds = self._distinct(words.dictionary)
+        codes = words.indices.to_numpy()
+        sizes = np.diff(bounds)[codes]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        tokens = total[np.searchsorted(begins, np.concatenate([[0], ends]))]
+        return ids[_places(bounds[codes], sizes)], np.diff(tokens)
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where those of each text begin and end."""
+        count = np.zeros(len(texts), np.int64)
+        found, pieces, owners, size = [np.zeros(0, np.int32)], [], [], 0
+
+        def look() -> None:
+            ids, sizes = self._slice(pieces)
+            found.append(ids)
+            np.add.at(count, owners, sizes)
+
+        for i, text in enumerate(texts):
+            for piece in self._pieces(text):
+                if pieces and size + len(piece) > SLICE_CHARACTERS:
+                    look()
+                    pieces, owners, size = [], [], 0
+                pieces.append(piece)
+                owners.append(i)
+                size += len(piece)
+        if pieces:
+            look()
+        return np.concatenate(found), np.concatenate([[0], np.cumsum(count)])
 
     def merge_word(self, word: bytes) -> list[int]:
         bounds = self._scan(word) if len(word) <= SHORT_WORD else self._heap(word)
@@ -170,6 +393,28 @@ class Vocabulary:
         """The text of `ids`, special tokens included; byte sequences that are no text become U+FFFD."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
+    def _joined(self, contents: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> Iterator[memoryview]:
+        """For each text, what `contents` has for its ids, one after the other."""
+        taken = contents.take(pa.array(ids))
+        _, offsets, data = taken.buffers()
+        at = np.frombuffer(offsets, np.int64)[taken.offset + bounds].tolist()
+        data = memoryview(data or b"")
+        return (data[a:b] for a, b in pairwise(at))
+
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of `ids`, as `decode` gives them."""
+        return [str(content, "utf-8", "replace") for content in self._joined(self.contents, ids, bounds)]
+
+    def digests(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """SHA-256 of each text's decimal ids joined by commas."""
+        return [hashlib.sha256(joined[:-1]).hexdigest() for joined in self._joined(self.decimals, ids, bounds)]
+
+
+def _places(low: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places low[0], low[0] + 1, ... of size[0], then those of low[1], and so on."""
+    total = np.cumsum(size)
+    return np.repeat(low - total + size, size) + np.arange(total[-1] if len(total) else 0)
+
 
 @lru_cache(maxsize=2)
 def _vocabulary(path: str) -> Vocabulary:
@@ -233,45 +478,33 @@ def encode_documents(
         try:
             yield from encoded(v, batches)
         finally:  # the worker goes on to other work
-            v.forget()
             pa.default_memory_pool().release_unused()
 
     def encoded(v: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             for a, b in _in_parts(whole):
-                made: dict[str, list] = {name: [] for name in outputs}
-                for text in whole[a:b]:
-                    ids = v.encode(text)
-                    decoded = v.decode(ids) if {"decoded", "decoded_sha256", "round_trip"} & set(outputs) else ""
-                    for name in outputs:
-                        if name == "token_ids":
-                            made[name].append(pa.array(ids, pa.int32()))
-                        elif name == "n_tokens":
-                            made[name].append(len(ids))
-                        elif name == "ids_sha256":
-                            made[name].append(hashlib.sha256(repr(ids)[1:-1].replace(" ", "").encode()).hexdigest())
-                        elif name == "round_trip":
-                            made[name].append(decoded == text)
-                        elif name == "decoded":
-                            made[name].append(decoded)
-                        else:
-                            made[name].append(hashlib.sha256(decoded.encode()).hexdigest())
+                texts = whole[a:b]
+                ids, bounds = v.encode_all(texts)
+                decoded = v.decode_all(ids, bounds) if {"decoded", "decoded_sha256", "round_trip"} & set(outputs) else []
+                new = []
+                for name in outputs:
+                    if name == "token_ids":
+                        new.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)))
+                        continue
+                    if name == "n_tokens":
+                        made = np.diff(bounds)
+                    elif name == "ids_sha256":
+                        made = v.digests(ids, bounds)
+                    elif name == "round_trip":
+                        made = [*map(str.__eq__, decoded, texts)]
+                    elif name == "decoded":
+                        made = decoded
+                    else:
+                        made = [hashlib.sha256(text.encode()).hexdigest() for text in decoded]
+                    new.append(pa.array(made, OUTPUTS[name][1]))
                 kept = [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
-                new = [
-                    pa.ListArray.from_arrays([0, *_sums(made[n])], pa.concat_arrays(made[n]))
-                    if n == "token_ids"
-                    else pa.array(made[n], OUTPUTS[n][1])
-                    for n in outputs
-                ]
                 yield pa.RecordBatch.from_arrays(kept + new, names=[*keep, *outputs])
 
     kept_types = [f"`{c}` {f.dataType.simpleString()}" for c, f in zip(keep, source.schema.fields)]
     return source.mapInArrow(run, ", ".join([*kept_types, *(f"{n} {OUTPUTS[n][0]}" for n in outputs)]))
-
-
-def _sums(arrays: list[pa.Array]) -> Iterator[int]:
-    total = 0
-    for a in arrays:
-        total += len(a)
-        yield total

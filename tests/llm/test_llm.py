@@ -7,6 +7,7 @@ import textwrap
 import time
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,6 +162,49 @@ def test_bpe_remembered_words_are_bounded_in_bytes(monkeypatch):
     assert not v.cache and not v.after_space and v.cached_bytes == 0
 
 
+@pytest.mark.parametrize("characters", [1 << 20, 500, 7])
+def test_bpe_many_texts_together_agree_with_the_library(monkeypatch, characters):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary_path())
+    with open(vocabulary_path(), encoding="utf-8") as file:
+        v = bpe.Vocabulary(file.read())
+    units = ["a", "The", "ing", "é", "日本", "\U0001f600", "7", "²", "Ⅷ", "\u0301", " ", "  ", "\n", "\t", "\u00a0", "\x85", "\u3000",
+             "'", "'s", "'S", "'re", "'ll", "'l", "'v", "!", "?", "<|endoftext|>", "<|endof", "x" * 64, "ab" * 33]
+    rng = random.Random(4)
+    texts = ["", "'", " ", "a ", "<|endoftext|>", "<|endoftext|><|endoftext|>'s", *("".join(rng.choices(units, k=rng.randrange(30))) for _ in range(3000))]
+    monkeypatch.setattr(bpe, "SLICE_CHARACTERS", characters)
+    monkeypatch.setattr(bpe, "MERGED_CELLS", 200)
+    ids, bounds = v.encode_all(texts)
+    expected = [t.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == expected == [*map(v.encode, texts)]
+    assert v.decode_all(ids, bounds) == texts
+    assert v.digests(ids, bounds) == [hashlib.sha256(",".join(map(str, e)).encode()).hexdigest() for e in expected]
+    assert [len(x) for x in v.encode_all([])] == [0, 1]
+
+
+def test_bpe_distinct_short_words_are_not_merged_one_by_one(spark, monkeypatch):
+    """Words that seldom repeat: what a task remembers is of no help."""
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdeghilmnorstu", k=9)) for _ in range(2000)) for _ in range(30)]
+    texts.append("y" * 65 + " z")
+    with open(vocabulary_path(), encoding="utf-8") as file:
+        v = bpe.Vocabulary(file.read())
+    expected = [*map(v.encode, texts)]
+    merged = []
+    monkeypatch.setattr(bpe.Vocabulary, "merge_word", lambda v, word, own=bpe.Vocabulary.merge_word: merged.append(word) or own(v, word))
+    bpe._vocabulary.cache_clear()
+    monkeypatch.setattr(bpe.SparkFiles, "get", lambda name: vocabulary_path())
+    run = []  # the operator's own function, called here
+    df = docs(spark, [(i, t) for i, t in enumerate(texts)]).select("doc_id", "text")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: run.append(f))
+    bpe.encode_documents(df, vocabulary_path())
+    batch = pa.RecordBatch.from_pydict({"c0": [*range(len(texts))], "text": texts})
+    (out,) = run[0](iter([batch]))
+    assert out.column(1).to_pylist() == expected and out.column(3).to_pylist() == texts
+    assert merged == [b"y" * 65]
+
+
 def test_fingerprints(spark, edge, empty):
     got = {r.doc_id: r for r in QUERIES["op5_fingerprints"](spark, SF).collect()}
     rows = sorted(table(spark.read.parquet(f"{SF}/documents.parquet")), reverse=True)
