@@ -55,7 +55,7 @@ def _byte_symbols() -> dict[int, str]:
 def _classes() -> np.ndarray:
     """The class of each code point in the pattern."""
     classes = np.full(0x110000, OTHER, np.uint8)
-    characters = "".join(map(chr, range(0x110000)))
+    characters = np.arange(0x110000, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         for found in regex.finditer(pattern, characters):
             classes[found.start() : found.end()] = kind
